@@ -93,9 +93,9 @@ def _ingested(spark: SparkSession, sf_dir: str, dataset: schemas.Feed, rows: Dat
     return bronze.drop(schemas.SOURCE_FILE)
 
 
-@query("q_ingest_routes", f"SELECT * FROM ({feed.SQL['routes']})")
+@query("q_ingest_routes", f"SELECT * FROM ({feed.SQL['customer_routes']})")
 def ingest_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir, schemas.ROUTES, feed.routes(spark, sf_dir))
+    return _ingested(spark, sf_dir, schemas.ROUTES, feed.customer_routes(spark, sf_dir))
 
 
 @query("q_ingest_stops", f"SELECT * FROM ({feed.SQL['stops']})")
@@ -130,12 +130,12 @@ def ingest_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "q_csv_by_header",
     f"SELECT route_id, route_long_name, route_type, CAST(NULL AS VARCHAR) AS route_url, gtfs_snapshot_date "
-    f"FROM ({feed.SQL['routes']})",
+    f"FROM ({feed.SQL['customer_routes']})",
 )
 def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots with fewer columns, in another order, matched by header name."""
     root = shared_dir(spark, "by-header")
-    rows = feed.routes(spark, sf_dir)
+    rows = feed.customer_routes(spark, sf_dir)
     paths = []
     for number, date in enumerate(feed.SNAPSHOTS):
         snapshot = rows.where(F.col(schemas.SNAPSHOT_DATE) == date)
@@ -221,6 +221,24 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("user_id", "event_type", "hour", "event_id", "value")
 
 
+@query(
+    "q_scd1_routes",
+    f"""SELECT * EXCLUDE (gtfs_snapshot_date) FROM ({feed.SQL['customer_routes']})
+        QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY gtfs_snapshot_date DESC) = 1""",
+)
+def scd1_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshots = drop_violations(feed.customer_routes(spark, sf_dir), not_null("route_id"))
+    return scd1(snapshots, ["route_id"], schemas.SNAPSHOT_DATE, [schemas.SNAPSHOT_DATE])
+
+
+@query(
+    "q_scd2_stops",
+    _final([("stops", feed.SQL["stops"])], Q.versions("stops", "stop_id", Q.STOP_COLUMNS, "gtfs_snapshot_date")),
+)
+def scd2_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stops(spark, sf_dir)
+
+
 _SCD1_SQL = f"""SELECT o_custkey, o_orderpriority, o_orderstatus FROM ({feed.SQL['changes']})
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY seq DESC) = 1"""
 _SCD2_SQL = _final(

@@ -7,7 +7,7 @@ Each DataFrame function has a SQL twin of the same content in ``SQL``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from headway.functions.clock import seconds_to_clock
 
@@ -15,8 +15,15 @@ SNAPSHOTS = ("2026-03-08", "2026-03-15", "2026-03-22")
 ROUTE_COUNT = 30  # five more than there are nations, so some trips have an unknown route
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _snapshots(df: DataFrame, dates: tuple[str, ...]) -> DataFrame:
@@ -88,6 +95,25 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a route list that grows with the data; used where routes are not joined hour by hour."""
+    customers = _snapshots(table(spark, sf_dir, "customer"), SNAPSHOTS)
+    key = F.col("c_custkey")
+    renamed = (F.col("k") == 2) & (F.pmod(key, F.lit(7)) == 0)
+    return customers.select(
+        F.lpad(key.cast("string"), 9, "0").alias("route_id"),
+        F.col("c_mktsegment").alias("agency_id"),
+        key.cast("string").alias("route_short_name"),
+        F.concat("c_name", F.when(renamed, " (Express)").otherwise("")).alias("route_long_name"),
+        F.lit(None).cast("string").alias("route_desc"),
+        (F.pmod("c_nationkey", F.lit(5)) + 1).cast("int").alias("route_type"),
+        F.lit(None).cast("string").alias("route_url"),
+        F.lit("0000FF").alias("route_color"),
+        F.lit("FFFFFF").alias("route_text_color"),
+        "gtfs_snapshot_date",
+    )
+
+
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _snapshots(table(spark, sf_dir, "part"), SNAPSHOTS)
     key = F.col("p_partkey")
@@ -214,6 +240,13 @@ SQL = {
         CAST(NULL AS VARCHAR) AS route_url, '0000FF' AS route_color, 'FFFFFF' AS route_text_color,
         gtfs_snapshot_date
         FROM nation, {_THREE}""",
+    "customer_routes": f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS route_id, c_mktsegment AS agency_id,
+        CAST(c_custkey AS VARCHAR) AS route_short_name,
+        c_name || CASE WHEN k = 2 AND c_custkey % 7 = 0 THEN ' (Express)' ELSE '' END AS route_long_name,
+        CAST(NULL AS VARCHAR) AS route_desc, CAST(c_nationkey % 5 + 1 AS INTEGER) AS route_type,
+        CAST(NULL AS VARCHAR) AS route_url, '0000FF' AS route_color, 'FFFFFF' AS route_text_color,
+        gtfs_snapshot_date
+        FROM customer, {_THREE}""",
     "stops": f"""SELECT CAST(p_partkey + 50000 AS VARCHAR) AS stop_id, CAST(p_partkey + 50000 AS VARCHAR) AS stop_code,
         p_name || CASE WHEN moved THEN ' (Relocated)' ELSE '' END AS stop_name, CAST(NULL AS VARCHAR) AS stop_desc,
         49e0 + (p_partkey % 1000) / 1e3 + CASE WHEN moved THEN 0.001::DOUBLE ELSE 0e0 END AS stop_lat,

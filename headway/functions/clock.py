@@ -5,29 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def _field(clock: Column, index: int) -> Column:
-    # get() and try_cast give NULL for a short or malformed string, where ANSI mode would fail the job.
-    return F.get(F.split(clock, ":"), F.lit(index)).try_cast("int")
+def _field(clock: Column, number: int) -> Column:
+    # A missing part is an empty string, and try_cast makes it NULL; ANSI mode would fail the job instead.
+    return F.split_part(clock, F.lit(":"), F.lit(number)).try_cast("int")
 
 
 def clock_to_seconds(clock: Column) -> Column:
     """Seconds since the service day's midnight; NULL for a malformed string."""
-    return _field(clock, 0) * 3600 + _field(clock, 1) * 60 + _field(clock, 2)
+    return _field(clock, 1) * 3600 + _field(clock, 2) * 60 + _field(clock, 3)
 
 
 def clock_hour(clock: Column) -> Column:
     """Hour of the service day, not wrapped at 24."""
-    return _field(clock, 0)
+    return _field(clock, 1)
+
+
+def _two_digits(number: Column) -> Column:
+    # Far cheaper than format_string, which builds a Java formatter for every row.
+    text = number.cast("string")
+    return F.when(number < 10, F.concat(F.lit("0"), text)).otherwise(text)
 
 
 def seconds_to_clock(seconds: Column) -> Column:
     """Inverse of :func:`clock_to_seconds`; hours run past 24."""
     seconds = seconds.cast("int")
-    return F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(seconds / 3600).cast("int"),
-        F.floor(F.pmod(seconds, F.lit(3600)) / 60).cast("int"),
-        F.pmod(seconds, F.lit(60)),
+    minute = F.lit(60)
+    minutes = F.floor(seconds / 60).cast("int")
+    hours = F.floor(seconds / 3600).cast("int")
+    return F.concat_ws(
+        ":", _two_digits(hours), _two_digits(F.pmod(minutes, minute)), _two_digits(F.pmod(seconds, minute))
     )
 
 

@@ -69,12 +69,11 @@ def scd2(
     rows = df.select(*keys, sequence, *tracked).withColumns(
         {"_attributes": F.struct(*tracked), "_tie": content_hash([*keys, *tracked])}
     )
-    if hot_rows is None:
-        return _versions_by_window(rows, keys, sequence, tracked)
     ordinary, hot = split_by_heat(rows, keys, hot_rows)
-    return _versions_by_window(ordinary, keys, sequence, tracked).unionByName(
-        _versions_by_range(hot, keys, sequence, tracked)
-    )
+    versions = _versions_by_window(ordinary, keys, sequence, tracked)
+    if hot is None:
+        return versions
+    return versions.unionByName(_versions_by_range(hot, keys, sequence, tracked))
 
 
 def valid_at(moment: Column | str) -> Column:

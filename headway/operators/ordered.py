@@ -10,7 +10,8 @@ would swamp a task are found first and take a second way:
 
 Finding hot keys reads the key columns only and counts rows per *slot* of the key hash, so its
 result has a fixed size whatever the data: at most ``KEY_SLOTS`` slot numbers, which is what makes
-broadcasting it safe. All keys of a hot slot take the second way; it is exact for any key.
+broadcasting it safe. All keys of a hot slot take the second way; it is exact for any key. The
+search runs when the plan is built, so data without hot keys gets the plain one-shuffle plan.
 """
 
 from __future__ import annotations
@@ -30,21 +31,21 @@ def key_slot(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_SLOTS)).cast("int")
 
 
-def hot_slots(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
-    """Slots with ``hot_rows`` more rows than an evenly filled slot has (plus a quarter for chance)."""
-    per_slot = df.groupBy(key_slot(keys).alias(_SLOT)).agg(F.count(F.lit(1)).alias("rows"))
-    # One row of at most KEY_SLOTS entries: bounded by a constant.
-    all_slots = per_slot.agg(F.sum("rows").alias("total"), F.collect_list(F.struct(_SLOT, "rows")).alias("slots"))
-    even_share = F.col("total") / KEY_SLOTS * 1.25
-    return all_slots.select(
-        F.explode(F.filter("slots", lambda s: s["rows"] >= even_share + hot_rows)).alias("slot")
-    ).select(F.col(f"slot.{_SLOT}").alias(_SLOT))
+def split_by_heat(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_SLOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys or None); ``hot_rows=None`` skips the search.
 
-
-def split_by_heat(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_SLOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); an empty hot part vanishes at run time."""
-    hot = F.broadcast(hot_slots(df, keys, hot_rows))
+    A slot is hot when it holds ``hot_rows`` rows more than an evenly filled slot, plus a quarter
+    of the even share for chance. Two numbers come to the driver, never rows.
+    """
+    if hot_rows is None:
+        return df, None
     slotted = df.withColumn(_SLOT, key_slot(keys))
+    per_slot = slotted.groupBy(_SLOT).agg(F.count(F.lit(1)).alias("rows"))
+    total, largest = per_slot.agg(F.sum("rows"), F.max("rows")).first()
+    limit = (total or 0) / KEY_SLOTS * 1.25 + hot_rows
+    if (largest or 0) < limit:
+        return df, None
+    hot = F.broadcast(per_slot.where(F.col("rows") >= limit).select(_SLOT))
     return (
         slotted.join(hot, _SLOT, "left_anti").drop(_SLOT),
         slotted.join(hot, _SLOT, "left_semi").drop(_SLOT),
@@ -100,9 +101,8 @@ def with_neighbour(
 
     ``hot_rows=None`` skips the search for hot keys, for callers that know their keys are small.
     """
-    if hot_rows is None:
-        return neighbour_by_window(df, keys, order, picks, step)
     ordinary, hot = split_by_heat(df, keys, hot_rows)
-    return neighbour_by_window(ordinary, keys, order, picks, step).unionByName(
-        neighbour_by_range(hot, keys, order, picks, step)
-    )
+    found = neighbour_by_window(ordinary, keys, order, picks, step)
+    if hot is None:
+        return found
+    return found.unionByName(neighbour_by_range(hot, keys, order, picks, step))

@@ -22,6 +22,8 @@ def build_session(app: str = "headway", master: str | None = None, conf: dict[st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
+        # Recording the Python call site of every column expression slows plan building noticeably.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(conf or {}),
     }
     for key, value in settings.items():
