@@ -327,7 +327,6 @@ def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stop_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     paired = segments.stop_segments(latest_snapshot(feed.stop_times(spark, sf_dir), schemas.SNAPSHOT_DATE))
-    taken = clock.clock_to_seconds(F.col("dest_arrival_time")) - clock.clock_to_seconds(F.col("departure_time"))
     return paired.select(
         "trip_id",
         "stop_id",
@@ -335,7 +334,7 @@ def stop_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stop_sequence",
         "departure_time",
         "dest_arrival_time",
-        taken.alias("seconds"),
+        (F.col("dest_arrival_seconds") - F.col("departure_seconds")).alias("seconds"),
         segments.segment_distance_km(F.col("shape_dist_traveled"), F.col("dest_dist")).alias("km"),
     )
 
