@@ -189,3 +189,21 @@ def test_expectations_drop_and_count(spark, rows):
     kept = drop_violations(df, {**not_null("stop_id"), "positive": F.col("n") > 0}, seen)
     assert rows(kept) == [("a", 1)]
     assert seen.get == {"rows_in": 3, "dropped_stop_id_not_null": 1, "dropped_positive": 1}
+
+
+@pytest.mark.parametrize("width", [65_536, 16])
+def test_exact_quantiles_equal_the_builtin_percentile(spark, monkeypatch, width):
+    """On folded rows with negative values, NULL keys, one row per group, and values over many bins."""
+    from headway.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BIN_WIDTH", width)
+    rng = random.Random(9)
+    data = [(rng.choice(["a", "b", None]), rng.randrange(-300, 300), rng.randrange(1, 5)) for _ in range(400)]
+    data.append(("single", 7, 1))
+    folded = spark.createDataFrame(data, "k STRING, v INT, n LONG")
+    got = quantiles.exact_quantiles(folded, ["k"], "v", "n", {"median": 0.5, "p95": 0.95})
+    wanted = folded.groupBy("k").agg(
+        F.percentile("v", F.lit(0.5), F.col("n")).alias("median"), F.percentile("v", F.lit(0.95), F.col("n")).alias("p95")
+    )
+    as_rows = [sorted(((str(r.k), round(r.median, 9), round(r.p95, 9)) for r in df.collect())) for df in (got, wanted)]
+    assert as_rows[0] == as_rows[1] and len(as_rows[0]) == 4
