@@ -334,7 +334,7 @@ def stop_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stop_sequence",
         "departure_time",
         "dest_arrival_time",
-        (F.col("dest_arrival_seconds") - F.col("departure_seconds")).alias("seconds"),
+        segments.segment_seconds(F.col("departure_time"), F.col("dest_arrival_time")).alias("seconds"),
         segments.segment_distance_km(F.col("shape_dist_traveled"), F.col("dest_dist")).alias("km"),
     )
 

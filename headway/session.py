@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "headway", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -45,5 +45,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/headway/{purpose}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the stored table.
+
+    For a small result that several branches of a plan use: it is computed once, its size is known
+    when the rest is planned, and losing an executor does not mean computing it again.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
