@@ -133,16 +133,16 @@ def ingest_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"FROM ({feed.SQL['customer_routes']})",
 )
 def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots with fewer columns, in another order, matched by header name."""
+    """Snapshots with fewer columns, in another order, streamed in and matched by header name."""
     root = shared_dir(spark, "by-header")
     rows = feed.customer_routes(spark, sf_dir)
-    paths = []
     for number, date in enumerate(feed.SNAPSHOTS):
         snapshot = rows.where(F.col(schemas.SNAPSHOT_DATE) == date)
         columns = ["route_type", "route_id", "route_long_name"] + (["route_url"] if number else [])
-        paths.append(f"{root}/{date}")
-        snapshot.select(*columns).write.option("header", True).csv(paths[-1])
-    loaded = feeds.read_schedule_by_header(spark, paths, schemas.ROUTES)
+        snapshot.select(*columns).write.option("header", True).csv(f"{root}/landing/{date}/{schemas.ROUTES.file}")
+    query = ingest.start_ingest_by_header(spark, schemas.ROUTES, f"{root}/landing", f"{root}/bronze")
+    query.awaitTermination()
+    loaded = ingest.read_bronze(spark, schemas.ROUTES, f"{root}/bronze")
     return loaded.select("route_id", "route_long_name", "route_type", "route_url", schemas.SNAPSHOT_DATE)
 
 

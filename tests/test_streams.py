@@ -11,7 +11,7 @@ from headway.operators.quality import not_null
 from headway.sources.feeds import read_schedule, read_schedule_by_header, read_traffic
 from headway.streaming.changeflow import ChangeFlow, fold_scd1, fold_scd2, read_state, run_scd1, run_scd2
 from headway.streaming.changeflow import _commit, _load
-from headway.streaming.ingest import ingest_feed, stream_bronze
+from headway.streaming.ingest import ingest_feed, read_bronze, start_ingest_by_header, stream_bronze
 from tests.test_ordered_and_changes import skewed_feed
 
 ROUTES_HEADER = (
@@ -72,6 +72,23 @@ def test_by_header_read_takes_any_column_order_and_missing_columns(spark, tmp_pa
     ]
 
 
+def test_by_header_stream_reads_each_file_once(spark, tmp_path, rows):
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    put(landing / "2026-03-08/routes.txt", "route_type,route_id\n3,009\n")
+    for date, text in ((None, None), ("2026-03-15", "route_id,route_url,route_type\n010,u,2\n"), (None, None)):
+        if date:
+            put(landing / date / "routes.txt", text)
+        start_ingest_by_header(spark, schemas.ROUTES, str(landing), bronze, files_per_batch=1).awaitTermination()
+    table = read_bronze(spark, schemas.ROUTES, bronze)
+    assert rows(table, "route_id", "route_type", "route_url", "gtfs_snapshot_date", "_source_file") == [
+        ("009", 3, None, "2026-03-08", "routes.txt"),
+        ("010", 2, "u", "2026-03-15", "routes.txt"),
+    ]
+    flow = ChangeFlow(str(tmp_path / "t"), ("route_id",), schemas.SNAPSHOT_DATE, (schemas.SOURCE_FILE,))
+    run_scd1(flow, stream_bronze(spark, schemas.ROUTES, bronze), str(tmp_path / "cp"))
+    assert rows(read_state(spark, flow), "route_id") == [("009",), ("010",)]
+
+
 def test_traffic_stream_keeps_bad_values_as_null_and_the_arrival_time(spark, tmp_path):
     good = '{"corridor_id":"c1","duration_seconds":105,"congestion_ratio":1.203,"polled_at":"2026-03-22T05:00:00"}'
     bad = '{"corridor_id":"c2","duration_seconds":"soon","congestion_ratio":1.2,"polled_at":"2026-03-22T05:15:00"}'
