@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from headway.llm.texts import byte_hash, documents, parts, rows_with_ids, settle, signed, text_slices
+from headway.llm.texts import byte_hash, documents, parts, rows_named, settle, signed, text_slices
 
 SENDER_ROWS = 500_000
 _SENT = "sender string, owner long, n long, divisor long, quotients binary, remainders binary, doc_ids binary, places binary, doubled binary"
@@ -181,7 +181,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     """
     texts = documents(docs)
     all_rows = settle(texts.select("doc_id", F.sha2("text", 256).alias("text_sha256")), "digests")
-    moved = rows_with_ids(texts, settle(suspect_ids(docs), "suspect-ids"))
+    moved = rows_named(texts, settle(suspect_ids(docs), "suspect-ids"))
     moved = settle(moved.select("doc_id", F.xxhash64("text").alias("_print"), "text"), "suspects")
 
     groups = moved.groupBy("_print", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm.exact_dedup import exact_duplicates
 from headway.llm.sharding import shard
+from headway.llm.substring_dedup import removal_digests
 from headway.llm.texts import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +39,8 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(read_documents(spark, sf_dir))

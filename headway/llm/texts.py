@@ -12,7 +12,7 @@ how much text a batch holds; only a single text longer than that is taken as a w
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,25 +49,34 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-#: The most rows of the broadcast that :func:`rows_with_ids` makes; some 30 MB.
+def keyed(docs: DataFrame) -> DataFrame:
+    """:func:`documents` with ``row``, a hash of both columns.
+
+    ``doc_id`` and ``row`` together name a row even if ids repeat; rows equal in both are equal in all that matters.
+    """
+    return documents(docs).withColumn("row", F.xxhash64("doc_id", "text"))
+
+
+#: The most rows of the broadcast that :func:`rows_named` makes; some 30 MB.
 ID_SLOTS = 1 << 20
 
 
-def rows_with_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose ``doc_id`` is one of ``ids`` (a stored table), moving little of the rest.
+def rows_named(df: DataFrame, names: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``df`` joined with ``names`` (a stored table) on ``columns``, moving little of the rows without a name.
 
-    Ids are folded to ``ID_SLOTS`` slots, which bounds the broadcast whatever the input; rows of other
-    slots never leave their scan task. Only the rest takes part in the exact join. With ids in every
-    slot nothing is spared, and the result is the same.
+    Names are folded to ``ID_SLOTS`` slots, which bounds the broadcast whatever the input; rows of other
+    slots never leave their scan task. Only the rest takes part in the exact join. With names in every
+    slot nothing is spared, and the result is the same. The result has the columns of both.
     """
 
     def slot(frame: DataFrame) -> Column:
-        return F.pmod(F.xxhash64(frame["doc_id"]), F.lit(ID_SLOTS)).cast("int")
+        return F.pmod(F.xxhash64(*[frame[c] for c in columns]), F.lit(ID_SLOTS)).cast("int")
 
-    slots = F.broadcast(ids.select(slot(ids).alias("_slot")).distinct())
+    slots = F.broadcast(names.select(slot(names).alias("_slot")).distinct())
     near = df.join(slots, slot(df) == slots["_slot"], "left_semi")
-    wanted = ids.select(F.col("doc_id").alias("_wanted"))
-    return near.join(wanted.hint("merge"), near["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
+    right = names.select([F.col(c).alias(f"_{c}") if c in columns else F.col(c) for c in names.columns])
+    same = reduce(lambda a, b: a & b, [near[c].eqNullSafe(right[f"_{c}"]) for c in columns])
+    return near.join(right.hint("merge"), same).drop(*[f"_{c}" for c in columns])
 
 
 def word_array(text: Column) -> Column:
