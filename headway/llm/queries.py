@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from headway.llm.exact_dedup import exact_duplicates
 from headway.llm.sharding import shard
 from headway.llm.substring_dedup import removal_digests
+from headway.llm.suffix_dedup import byte_removal_digests
 from headway.llm.texts import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +45,8 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(read_documents(spark, sf_dir))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_removal_digests(read_documents(spark, sf_dir))
