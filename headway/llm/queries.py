@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm.exact_dedup import exact_duplicates
+from headway.llm.packing import CAPACITY, pack
 from headway.llm.sharding import shard
 from headway.llm.substring_dedup import removal_digests
 from headway.llm.suffix_dedup import byte_removal_digests
-from headway.llm.texts import read_documents
+from headway.llm.texts import read_documents, settle
+from headway.llm.word_tokens import tokenized
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,3 +53,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_removal_digests(read_documents(spark, sf_dir))
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tokenized(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(settle(pieces, "token-pieces"), CAPACITY)
