@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from headway.llm.byte_bpe import decode_documents, encode_documents
 from headway.llm.exact_dedup import exact_duplicates
 from headway.llm.packing import CAPACITY, pack
 from headway.llm.sharding import shard
@@ -60,3 +61,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = tokenized(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(settle(pieces, "token-pieces"), CAPACITY)
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(read_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return decode_documents(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
