@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm.byte_bpe import decode_documents, encode_documents
 from headway.llm.exact_dedup import exact_duplicates
+from headway.llm.jaccard_join import near_duplicate_classes
 from headway.llm.packing import CAPACITY, pack
 from headway.llm.sharding import shard
 from headway.llm.substring_dedup import removal_digests
@@ -73,3 +74,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicate_classes(read_documents(spark, sf_dir), n=4, percent=85)
+    return classes.select("doc_id", "n_shingles", "component_id")
