@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from headway.llm.byte_bpe import decode_documents, encode_documents
 from headway.llm.exact_dedup import exact_duplicates
 from headway.llm.jaccard_join import near_duplicate_classes
+from headway.llm.language_id import identify_languages, language_prototypes
 from headway.llm.packing import CAPACITY, pack
+from headway.llm.quality_classifier import FactorisationMachine, quality_scores, train
 from headway.llm.sharding import shard
 from headway.llm.substring_dedup import removal_digests
 from headway.llm.suffix_dedup import byte_removal_digests
@@ -80,3 +82,32 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_duplicate_classes(read_documents(spark, sf_dir), n=4, percent=85)
     return classes.select("doc_id", "n_shingles", "component_id")
+
+
+def _remainder(doc_id: Column, modulus: int) -> Column:
+    return F.crc32(doc_id.cast("string")) % modulus
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    scored = quality_scores(docs, trained_quality(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        (_remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def trained_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> FactorisationMachine:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return train(docs, labels, _remainder(F.col("doc_id"), 5) != 0)
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    names, prototypes = language_prototypes(docs, _remainder(docs["doc_id"], 4) != 2)
+    told = identify_languages(docs, names, prototypes)
+    return told.select("doc_id", (_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
