@@ -13,6 +13,7 @@ from headway.llm.jaccard_join import near_duplicate_classes
 from headway.llm.language_id import identify_languages, language_prototypes
 from headway.llm.packing import CAPACITY, pack
 from headway.llm.quality_classifier import FactorisationMachine, quality_scores, train
+from headway.llm.quality_rules import judge
 from headway.llm.sharding import shard
 from headway.llm.substring_dedup import removal_digests
 from headway.llm.suffix_dedup import byte_removal_digests
@@ -111,3 +112,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     names, prototypes = language_prototypes(docs, _remainder(docs["doc_id"], 4) != 2)
     told = identify_languages(docs, names, prototypes)
     return told.select("doc_id", (_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read_documents(spark, sf_dir))
