@@ -125,6 +125,11 @@ def text_slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) ->
             yield rows, *buffer_of(rows.column("text"))
 
 
+def in_words(data: np.ndarray) -> np.ndarray:
+    """True for the bytes of words."""
+    return ~_IS_SEPARATOR[data]
+
+
 def words_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, bounds): byte range of every word, and the index of each text's first word (n + 1 values)."""
     inside = np.zeros(len(data) + 1, dtype=np.int8)

@@ -16,12 +16,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from headway.llm.texts import byte_hash, documents, expand, lower_ascii, text_slices, words_of
+from headway.llm.texts import buffer_of, byte_hash, documents, expand, in_words, lower_ascii, text_slices, words_of
 
 #: Words whose ids a worker process keeps, some 40 bytes each.
-REMEMBERED = 2_500_000
+REMEMBERED = 1_500_000
 #: Bytes of text whose words are told apart together.
-_SLICE = 12_000_000
+_SLICE = 6_000_000
 #: Bytes of text whose ids are put together at a time.
 _ASSEMBLE = 2_000_000
 
@@ -67,8 +67,8 @@ class _Memory:
         if len(new):
             strings = words.take(pa.array(new)).cast(pa.string()).to_pylist()
             made = []
-            for i in range(0, len(strings), 20_000):
-                made += [e.ids for e in self.tokenizer.encode_batch_fast(strings[i : i + 20_000], add_special_tokens=False)]
+            for i in range(0, len(strings), 5_000):
+                made += [e.ids for e in self.tokenizer.encode_batch_fast(strings[i : i + 5_000], add_special_tokens=False)]
             n = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
             flat = np.fromiter((x for ids in made for x in ids), dtype=np.uint32, count=int(n.sum()))
             first = len(self.ids) + np.cumsum(n) - n
@@ -103,19 +103,16 @@ def _encode(path: str, longest: int, end: int):
         for rows, offsets, data in text_slices(batches, _SLICE):
             data = lower_ascii(data)
             starts, ends, bounds = word_cuts(offsets, data)
-            lengths = ends - starts
-            held = data[expand(starts, lengths)]
-            where = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-            words = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(starts), [None, pa.py_buffer(where.tobytes()), pa.py_buffer(held.tobytes())]
-            )
+            # Words side by side: all bytes that are not separators.
+            held = data[in_words(data)]
+            where = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(where), pa.py_buffer(held)])
             coded = pc.dictionary_encode(words)
-            nth = coded.indices.to_numpy()
-            sample = np.zeros(len(coded.dictionary), dtype=np.int64)
-            sample[nth] = np.arange(len(nth))
-            key = byte_hash(held, 41)(where[sample], where[sample + 1])
-            check = byte_hash(held, 42)(where[sample], where[sample + 1])
-            ids, first, n = memory.ids_of(coded.dictionary.cast(pa.binary()), key, check)
+            nth, forms = coded.indices.to_numpy(), coded.dictionary
+            del starts, ends, held, where, words, data
+            own, letters = buffer_of(forms)
+            key, check = (byte_hash(letters, seed)(own[:-1], own[1:]) for seed in (41, 42))
+            ids, first, n = memory.ids_of(forms.cast(pa.binary()), key, check)
             doc_ids = rows.column("doc_id").to_pylist()
             low = 0
             while low < len(doc_ids):
