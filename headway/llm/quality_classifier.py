@@ -146,6 +146,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, seed: int = 3) -> FactorisationMac
         spread.astype(np.float32),
     )
     if len(rows) == 0 or labels.min() == labels.max():
+        machine.factors[:] = 0  # nothing to tell texts apart by
         return machine
     x = machine.scaled(rows)
     squared = x * x
