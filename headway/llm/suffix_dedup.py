@@ -11,9 +11,10 @@ A whole corpus has no single suffix array here. Its text is cut so that equal st
    ``window`` bytes with the suffix sorted before or after it.
 
 A shard holds about ``SHARD_BYTES``. A minimizer with more than ``CROWD`` different runs (a frequent passage with a
-different surrounding each time) would make a shard of any size: its positions are told apart by the
-hash of their ``window`` bytes instead, which is aggregated before it is shuffled, and nothing is left out.
-Keys of strings are 128 bits wide.
+different surrounding each time) would make a shard of any size, so its runs are told apart by hashes, which are
+aggregated before they are shuffled, and nothing is left out: runs are cut into blocks of ``BLOCK`` positions at the same
+distance from the minimizer; blocks whose common bytes (those all their positions read) occur once are done with, equal
+blocks are one, and only the positions of the others are compared one by one. Keys of strings are 128 bits wide.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ MINIMIZER = 32
 SHARD_BYTES = 1_000_000
 #: Different runs around one minimizer that a shard takes.
 CROWD = 256
+#: Neighbouring positions of a crowded run that are told apart together.
+BLOCK = 16
 _ROW = ["doc_id", "row"]
 _RUN = ["hull", "hull2"]
 #: Texts are folded in slices of this size: hashes of every byte take some ten times their room.
@@ -57,11 +60,12 @@ def _runs(window: int, k: int):
                     rows.column("row").take(pa.array(owner)),
                     pa.array(runs.start - offsets[owner]),
                     pa.array(runs.count.astype(np.int32)),
+                    pa.array((runs.anchor - runs.start).astype(np.int32)),
                     pa.array(signed(one(runs.anchor, runs.anchor + k))),
                     pa.array(signed(one(runs.start, end))),
                     pa.array(signed(two(runs.start, end))),
                 ],
-                names=["doc_id", "row", "start", "n", "anchor", "hull", "hull2"],
+                names=["doc_id", "row", "start", "n", "at", "anchor", "hull", "hull2"],
             )
 
     return fold
@@ -82,7 +86,7 @@ def _pieces(window: int):
             piece = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(length), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(held.tobytes())]
             )
-            names = ["anchor", *_RUN, "copies", "crowded"]
+            names = ["anchor", "at", *_RUN, "copies", "crowded"]
             yield pa.RecordBatch.from_arrays(
                 [*[chosen.field(c) for c in names], piece.cast(pa.binary())], names=[*names, "piece"]
             )
@@ -123,37 +127,81 @@ def _repeated_in_shard(window: int):
     return sort
 
 
-def _positions(window: int):
-    """The windows of crowded runs, as hashes."""
+def _blocks(window: int):
+    """Blocks of crowded runs: hashes of the bytes common to their positions, of all their bytes, and of each position's."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                rows = batch.slice(first, 256)
+            for low in range(0, batch.num_rows, 256):
+                rows = batch.slice(low, 256)
                 offsets, data = buffer_of(rows.column("piece"))
+                hashes = [byte_hash(data, seed) for seed in (31, 32)]
                 n = np.diff(offsets) - window + 1
                 place = expand(offsets[:-1], n)
                 piece = np.repeat(np.arange(rows.num_rows), n)
-                taken = pa.array(piece)
+                anchor = offsets[:-1] + rows.column("at").to_numpy()
+                block = (anchor[piece] - place) // BLOCK
+                fresh = np.ones(len(place), dtype=bool)
+                fresh[1:] = (piece[1:] != piece[:-1]) | (block[1:] != block[:-1])
+                first = np.flatnonzero(fresh)
+                count = np.diff(np.append(first, len(place)))
+                owner, number = piece[first], block[first]
+                begin, end = place[first], place[first] + count - 1 + window
+                core = anchor[owner] - number * BLOCK
+                core_end = core - (BLOCK - 1) + window
+                cuts = pa.array(np.append(first, len(place)).astype(np.int32))
+                taken = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column("hull").take(taken),
-                        rows.column("hull2").take(taken),
-                        rows.column("copies").take(taken),
-                        pa.array((place - offsets[piece]).astype(np.int32)),
-                        pa.array(signed(byte_hash(data, 31)(place, place + window))),
-                        pa.array(signed(byte_hash(data, 32)(place, place + window))),
+                        *[rows.column(c).take(taken) for c in (*_RUN, "copies")],
+                        pa.array((begin - offsets[owner]).astype(np.int32)),
+                        pa.array(count.astype(np.int32)),
+                        *[pa.array(signed(h(core, core_end))) for h in hashes],
+                        *[pa.array(signed(h(begin, end))) for h in hashes],
+                        *[pa.ListArray.from_arrays(cuts, pa.array(signed(h(place, place + window)))) for h in hashes],
                     ],
-                    names=["hull", "hull2", "copies", "nth", "key", "key2"],
+                    names=[*_RUN, "copies", "nth", "n", "core", "core2", "block", "block2", "keys", "keys2"],
                 )
 
-    return spread
+    return cut
+
+
+def _repeated_in_crowds(pieces: DataFrame, window: int) -> DataFrame:
+    """``hull, hull2, nth, n``: positions of single crowded runs that occur again."""
+    schema = (
+        "hull long, hull2 long, copies long, nth int, n int, core long, core2 long, block long, block2 long, "
+        "keys array<long>, keys2 array<long>"
+    )
+    blocks = settle(pieces.mapInArrow(_blocks(window), schema), "blocks")
+    cores = blocks.groupBy("core", "core2").agg(F.sum("copies").alias("_n")).where("_n > 1")
+    cores = settle(cores.select(F.col("core").alias("_c"), F.col("core2").alias("_c2")), "block-cores")
+    left = blocks.join(cores.hint("merge"), (F.col("core") == F.col("_c")) & (F.col("core2") == F.col("_c2")))
+    left = settle(left.drop("_c", "_c2", "core", "core2"), "open-blocks")
+    kinds = left.groupBy("block", "block2").agg(
+        F.sum("copies").alias("_times"),
+        F.min(F.struct(*_RUN, "nth")).alias("_run"),
+        F.min(F.struct("keys", "keys2")).alias("_keys"),
+    )
+    kinds = settle(kinds, "block-kinds")
+
+    again = kinds.where("_times > 1").select(F.col("block").alias("_b"), F.col("block2").alias("_b2"))
+    whole = left.where("copies = 1").join(settle(again, "copied-blocks").hint("merge"), (F.col("block") == F.col("_b")) & (F.col("block2") == F.col("_b2")))
+
+    places = kinds.select("_times", "_run", F.posexplode(F.arrays_zip("_keys.keys", "_keys.keys2")).alias("_at", "_key"))
+    places = places.select("_times", "_run.*", "_at", F.col("_key.keys").alias("key"), F.col("_key.keys2").alias("key2"))
+    places = settle(places, "block-positions")
+    twice = places.groupBy("key", "key2").agg(F.sum("_times").alias("_n")).where("_n > 1")
+    twice = settle(twice.select(F.col("key").alias("_k"), F.col("key2").alias("_k2")), "repeated-keys")
+    met = places.where("_times = 1").join(twice.hint("merge"), (F.col("key") == F.col("_k")) & (F.col("key2") == F.col("_k2")))
+    return whole.select(*_RUN, "nth", "n").unionByName(
+        met.select(*_RUN, (F.col("nth") + F.col("_at")).alias("nth"), F.lit(1).alias("n"))
+    )
 
 
 def repeated_positions(docs: DataFrame, window: int = WINDOW, k: int = MINIMIZER) -> DataFrame:
     """``doc_id, row, start, n``: positions [start, start + n) from where ``window`` bytes also start elsewhere."""
     texts = keyed(docs)
-    schema = "doc_id long, row long, start long, n int, anchor long, hull long, hull2 long"
+    schema = "doc_id long, row long, start long, n int, at int, anchor long, hull long, hull2 long"
     runs = settle(texts.mapInArrow(_runs(window, k), schema), "runs")
     shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     shared = settle(shared.select(F.col("anchor").alias("_anchor")), "run-anchors")
@@ -161,9 +209,9 @@ def repeated_positions(docs: DataFrame, window: int = WINDOW, k: int = MINIMIZER
     suspects = settle(suspects, "suspect-runs")
 
     kinds = suspects.groupBy("anchor", *_RUN).agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "row", "start")).alias("s"), F.max("n").alias("n")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "row", "start")).alias("s"), F.max("n").alias("n"), F.max("at").alias("at")
     )
-    kinds = settle(kinds.select("anchor", *_RUN, "copies", "n", "s.*"), "run-kinds")
+    kinds = settle(kinds.select("anchor", *_RUN, "copies", "n", "at", "s.*"), "run-kinds")
     copied = settle(kinds.where("copies > 1").select(F.col("hull").alias("_h"), F.col("hull2").alias("_h2")), "copied-runs")
     whole = suspects.join(copied.hint("merge"), (F.col("hull") == F.col("_h")) & (F.col("hull2") == F.col("_h2")))
     whole = whole.select(*_ROW, "start", "n")
@@ -171,9 +219,9 @@ def repeated_positions(docs: DataFrame, window: int = WINDOW, k: int = MINIMIZER
     crowds = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("_kinds"), F.min("copies").alias("_least"))
     crowds = crowds.where("_kinds > 1 AND _least = 1").select(F.col("anchor").alias("_anchor"), (F.col("_kinds") > CROWD).alias("crowded"))
     unlike = kinds.join(settle(crowds, "crowds").hint("merge"), F.col("anchor") == F.col("_anchor")).drop("_anchor")
-    lists = unlike.groupBy(*_ROW).agg(F.collect_list(F.struct("start", "n", "anchor", *_RUN, "copies", "crowded")).alias("runs"))
+    lists = unlike.groupBy(*_ROW).agg(F.collect_list(F.struct("start", "n", "anchor", "at", *_RUN, "copies", "crowded")).alias("runs"))
     listed = rows_named(texts, settle(lists, "run-lists"), ("doc_id", "row")).dropDuplicates(_ROW)
-    schema = "anchor long, hull long, hull2 long, copies long, crowded boolean, piece binary"
+    schema = "anchor long, at int, hull long, hull2 long, copies long, crowded boolean, piece binary"
     pieces = settle(listed.select("text", "runs").mapInArrow(_pieces(window), schema), "pieces")
 
     total = pieces.where(~F.col("crowded")).agg(F.sum(F.octet_length("piece"))).first()[0] or 0
@@ -184,13 +232,8 @@ def repeated_positions(docs: DataFrame, window: int = WINDOW, k: int = MINIMIZER
         .groupBy("shard")
         .applyInArrow(_repeated_in_shard(window), "hull long, hull2 long, nth int, n int")
     )
-    schema = "hull long, hull2 long, copies long, nth int, key long, key2 long"
-    spread = pieces.where("crowded").select(*_RUN, "copies", "piece").mapInArrow(_positions(window), schema)
-    spread = settle(spread, "crowded-positions")
-    again = spread.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = settle(again.select(F.col("key").alias("_k"), F.col("key2").alias("_k2")), "crowded-repeats")
-    met = spread.where("copies = 1").join(again.hint("merge"), (F.col("key") == F.col("_k")) & (F.col("key2") == F.col("_k2")))
-    partly = settle(alone.unionByName(met.select(*_RUN, "nth", F.lit(1).alias("n"))), "repeated-positions")
+    crowded = pieces.where("crowded").select(*_RUN, "at", "copies", "piece")
+    partly = settle(alone.unionByName(_repeated_in_crowds(crowded, window)), "repeated-positions")
     owners = kinds.where("copies = 1").select(F.col("hull").alias("_h"), F.col("hull2").alias("_h2"), *_ROW, "start")
     placed = partly.join(owners.hint("merge"), (F.col("hull") == F.col("_h")) & (F.col("hull2") == F.col("_h2")))
     placed = placed.select(*_ROW, (F.col("start") + F.col("nth")).alias("start"), "n")
