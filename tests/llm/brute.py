@@ -64,8 +64,8 @@ def shingles(text: str | None, n: int) -> set[tuple]:
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))}
 
 
-def jaccard_components(rows: list[tuple[int, str | None]], n: int, percent: int) -> list[tuple]:
-    """(doc_id, n_shingles, component_id) per row, ids distinct."""
+def jaccard_components(rows: list[tuple[int | None, str | None]], n: int, percent: int) -> list[tuple]:
+    """(doc_id, n_shingles, component_id) per row; a null id is larger than any."""
     sets = [shingles(text, n) for _, text in rows]
     parent = list(range(len(rows)))
 
@@ -79,7 +79,34 @@ def jaccard_components(rows: list[tuple[int, str | None]], n: int, percent: int)
             both = len(sets[i] & sets[j])
             if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 parent[root(i)] = root(j)
-    least: dict[int, int] = {}
+    least: dict[int, int | None] = {}
     for i, (doc_id, _) in enumerate(rows):
-        least[root(i)] = min(least.get(root(i), doc_id), doc_id)
+        known = least.get(root(i))
+        least[root(i)] = doc_id if known is None else known if doc_id is None else min(known, doc_id)
     return [(doc_id, len(sets[i]), least[root(i)]) for i, (doc_id, _) in enumerate(rows)]
+
+
+def exact_copies(rows: list[tuple[int | None, str | None]]) -> list[tuple]:
+    """(doc_id, keep_id, group_size, kept, text_sha256) per row."""
+    groups: dict[str, list] = {}
+    for doc_id, text in rows:
+        groups.setdefault(text or "", []).append(doc_id)
+    out = []
+    for doc_id, text in rows:
+        ids = groups[text or ""]
+        keep = max((i for i in ids if i is not None), default=None)
+        out.append((doc_id, keep, len(ids), doc_id == keep, sha((text or "").encode())))
+    return out
+
+
+def structure(text: str | None) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text."""
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    covered = [False] * len(w)
+    for i, x in enumerate(windows):
+        if windows.count(x) > 1:
+            covered[i : i + 5] = [True] * 5
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), sum(covered)

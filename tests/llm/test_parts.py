@@ -1,0 +1,127 @@
+"""The parts that run inside tasks or on bounded lists, without Spark."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import tiktoken
+from hypothesis import given, settings, strategies as st
+
+from headway.llm.byte_bpe import encode_matches, merge_alone, vocabulary
+from headway.llm.exact_dedup import golomb_decode, golomb_encode
+from headway.llm.jaccard_join import most_differences, range_sketches, shingle_sets
+from headway.llm.packing import plan_patterns
+from headway.llm.suffixes import common_prefixes, joined_pieces, suffix_array
+from headway.llm.texts import words_of
+from headway.llm.trees import CapacityTree, best_fit_decreasing
+
+
+def buffer(parts: list[bytes]):
+    return np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64), np.frombuffer(b"".join(parts), dtype=np.uint8)
+
+
+@given(st.sets(st.integers(0, 2**61)))
+def test_golomb_round_trip(values):
+    ordered = np.array(sorted(values), dtype=np.int64)
+    divisor, unary, binary = golomb_encode(ordered)
+    assert golomb_decode(len(ordered), divisor, unary, binary).tolist() == ordered.tolist()
+
+
+def test_golomb_codes_are_short():
+    values = np.unique(np.random.Generator(np.random.PCG64(1)).integers(0, 2**40, 10_000))
+    _, unary, binary = golomb_encode(values)
+    assert len(unary) + len(binary) < 4.1 * len(values)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", max_size=30).map(str.encode), min_size=1, max_size=6))
+def test_suffix_arrays(parts):
+    text, starts = joined_pieces(*buffer(parts))
+    symbols = text.tolist()
+    order = suffix_array(text)
+    assert order.tolist() == sorted(range(len(symbols)), key=lambda i: symbols[i:])
+    shared, _ = common_prefixes(text, order, starts)
+    for rank in range(1, len(symbols)):
+        i, j = int(order[rank]), int(order[rank - 1])
+        piece = max(k for k, s in enumerate(starts) if s <= i)
+        end, n = starts[piece] + len(parts[piece]), 0
+        while i + n < end and j + n < len(symbols) and symbols[i + n] == symbols[j + n]:
+            n += 1
+        assert shared[i] == n
+
+
+@given(st.lists(st.text(" \tab\n", max_size=20).map(str.encode), min_size=1, max_size=6))
+def test_words(parts):
+    offsets, data = buffer(parts)
+    starts, ends, bounds = words_of(offsets, data)
+    for i, part in enumerate(parts):
+        own = range(bounds[i], bounds[i + 1])
+        assert [data[starts[k] : ends[k]].tobytes() for k in own] == part.split()
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40)))
+def test_packing_uses_every_piece_once(counts):
+    used = {}
+    for pattern in plan_patterns(counts, 64):
+        assert sum(pattern.lengths) <= 64
+        for length in pattern.lengths:
+            used[length] = used.get(length, 0) + pattern.times
+    assert used == counts
+
+
+def test_packing_is_tight():
+    rng = random.Random(2)
+    counts = {}
+    for _ in range(20_000):
+        length = min(2048, max(1, int(rng.lognormvariate(6, 1))))
+        counts[length] = counts.get(length, 0) + 1
+    total = sum(k * v for k, v in counts.items())
+    assert sum(p.times for p in plan_patterns(counts, 2048)) <= 1.002 * total / 2048 + 1
+
+
+@given(st.lists(st.integers(1, 50), max_size=60))
+def test_best_fit_decreasing(sizes):
+    placed, bins = best_fit_decreasing(sizes, 50)
+    load = [0] * bins
+    for size, number in zip(sizes, placed, strict=True):
+        load[number] += size
+    assert all(0 < x <= 50 for x in load)
+    assert bins <= 1.25 * sum(sizes) / 50 + 1 or not sizes
+
+
+def test_tree_takes_the_tightest():
+    tree = CapacityTree()
+    for number, capacity in enumerate([9, 4, 7, 4]):
+        tree.insert(capacity, number)
+    assert tree.take_tightest(4) == (4, 1)
+    assert tree.take_tightest(5) == (7, 2)
+    assert tree.take_tightest(10) is None
+    assert tree.take_tightest(1) == (4, 3)
+
+
+def test_linked_sets_share_a_sketch():
+    rng = random.Random(8)
+    for _ in range(200):
+        words = [rng.choice("abcdefghij") + str(rng.randrange(1000)) for _ in range(rng.randint(1, 150))]
+        other = list(words)
+        for _ in range(rng.randint(0, 4)):
+            other[rng.randrange(len(other))] = "new" + str(rng.random())
+        hashes, bounds = shingle_sets(*buffer([" ".join(words).encode(), " ".join(other).encode()]), 4)
+        one, two = (set(hashes[bounds[i] : bounds[i + 1]].tolist()) for i in (0, 1))
+        if 100 * len(one & two) >= 85 * len(one | two):
+            assert len(one ^ two) <= most_differences(min(len(one), len(two)), 85)
+            keys, owner, spare = range_sketches(hashes, bounds, 85)
+            shared = set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+            assert len(shared) > spare.max()
+
+
+def test_merges_match_the_library():
+    vocab = vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=vocab.rank, special_tokens={})
+    rng = random.Random(6)
+    matches = ["".join(rng.choices("aabbcdeé日 ", k=rng.randint(1, 40))) for _ in range(300)]
+    ids, bounds = encode_matches(vocab, *buffer([m.encode() for m in matches]))
+    for i, match in enumerate(matches):
+        expected = own.encode_ordinary(match)
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == expected
+        assert merge_alone(vocab, match.encode()) == expected
