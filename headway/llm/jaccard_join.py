@@ -7,16 +7,18 @@ the number D of n-grams in which two linked sets can differ (see :func:`most_dif
 1. *Bands.* Sizes are cut into bands; a set meets its own band and, if it is within reach, the one below, so linked sets
    always meet. A band fixes D and cuts the hash space into ``D + 1 + spare`` ranges.
 2. *Pigeonhole.* The sketch of a range is the XOR of the n-grams in it. Linked sets differ in at most D ranges, so at
-   least ``1 + spare`` range sketches are equal. Empty ranges say nothing; a set with at most ``spare`` of them leaves them
-   out, and one equal sketch remains for sure. Sets that share a sketch are candidates.
+   least ``1 + spare`` range sketches are equal. Sketches have one order, by how many sets have them, and each set leaves out its
+   ``spare`` most frequent ones (empty ranges, boilerplate). Of the sketches that two linked sets share, these are the
+   first ``spare`` at most, so one is left for sure. Sets that share a sketch are candidates.
 3. *Hamming bound.* Candidates whose whole 256-bit sketches differ in more than the allowed number of bits are dropped.
 4. *Verification* counts common n-grams exactly.
 
 Groups of sets that share a sketch may be huge. Sets equal in all n-grams count as one from the start. A scan task sends one set of each
-group it meets, the others are known to belong to it. Candidates are then taken in three rounds: each
-set with the one it shares most sketches with among its groups' least members, then with the other least members,
-then with all members of its groups - but only where the two are not in one component already. A group of near
-copies is one component after the first round, so its pairs are never listed, and no link between components is lost.
+group it meets, the others are known to belong to it. Candidates are then taken in two rounds. First each set is compared with
+``PARTNERS`` of those that stand next to it in its groups, in several random orders; that makes one component of
+nearly every group of near copies. Then all members of a group that are in different components are compared. Pairs
+inside a component need no comparison, so the pairs of a group of near copies are never listed, and no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from headway.llm.components import components
 from headway.llm.texts import (
@@ -50,6 +52,10 @@ _ROW = ["doc_id", "row"]
 #: Sketch rows that a scan task gathers before it folds those of equal key.
 _FOLD_ROWS = 1_500_000
 _BITS = ["bits0", "bits1", "bits2", "bits3"]
+#: Neighbours that the first round compares a set with, and the random orders they are taken from.
+PARTNERS, ORDERS = 8, 3
+#: Members of a group that the first round keeps together.
+_GATHERED = 2_000
 
 
 def most_differences(smaller: int, percent: int) -> int:
@@ -68,7 +74,7 @@ def _bands(percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     while True:
         high = max(low + 1, int(low * BAND))
         d = most_differences(high - 1, percent)
-        spare = min(d, 2 + d // 32)
+        spare = min(d, 2 + d // 2)
         lows.append(low)
         ranges.append(d + 1 + spare)
         spares.append(spare)
@@ -135,49 +141,48 @@ def _describe(n: int):
     return describe
 
 
-def range_sketches(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, index of the set) of all range sketches that the sets are to be found under."""
+def range_sketches(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, index of the set, sketches the set may leave out) for all range sketches of all sets."""
     size = np.diff(bounds)
     lows, ranges, spares = _bands(percent, int(size.max(initial=1)))
     band = np.searchsorted(lows, size, side="right") - 1
     below = (band > 0) & (size * percent < 100 * lows[np.maximum(band, 0)])
+    leave = spares[np.maximum(0, band - 1)]
     keys, owners = [], []
     for chosen, group in ((size > 0, band), (below & (size > 0), band - 1)):
         which = np.flatnonzero(chosen)
         if len(which) == 0:
             continue
         group = group[which]
-        m, spare = ranges[group], spares[group]
+        m = ranges[group]
         own = hashes[expand(bounds[which], size[which])]
         nth = np.repeat(np.arange(len(which)), size[which])
         base = np.cumsum(m) - m
         cell = base[nth] + ((own >> np.uint64(32)) * m[nth].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
         begins = np.flatnonzero(np.diff(cell, prepend=-1))
         sketch = np.zeros(int(m.sum()), dtype=np.uint64)
-        filled = np.zeros(len(sketch), dtype=bool)
         sketch[cell[begins]] = np.bitwise_xor.reduceat(mixed(own), begins)
-        filled[cell[begins]] = True
         of_set = np.repeat(np.arange(len(which)), m)
-        empty = np.bincount(of_set, weights=~filled, minlength=len(which))
-        sent = filled | (empty > spare)[of_set]
         place = (group[of_set] << 32) | (np.arange(len(sketch)) - base[of_set])
-        keys.append(mixed(sketch ^ mixed(place.astype(np.uint64) + np.uint64(1)))[sent])
-        owners.append(which[of_set][sent])
+        keys.append(mixed(sketch ^ mixed(place.astype(np.uint64) + np.uint64(1))))
+        owners.append(which[of_set])
     if not keys:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        nothing = np.zeros(0, dtype=np.int64)
+        return nothing.view(np.uint64), nothing, nothing
+    owner = np.concatenate(owners)
+    return np.concatenate(keys), owner, leave[owner]
 
 
 def _sketch_rows(n: int, percent: int):
-    """``key, sig, known``: one row per key and task to be matched, the others marked as known to share the key."""
+    """``key, sig, spare, known``: one row per key and task to be matched, the others marked as known to share the key."""
 
-    def fold(keys: list[np.ndarray], sigs: list[np.ndarray]) -> pa.RecordBatch:
-        key, sig = np.concatenate(keys), np.concatenate(sigs)
+    def fold(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        key, sig, spare = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((sig, key))
-        key, sig = key[order], sig[order]
+        key, sig, spare = key[order], sig[order], spare[order]
         distinct = np.ones(len(key), dtype=bool)
         distinct[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
-        key, sig = key[distinct], sig[distinct]
+        key, sig, spare = key[distinct], sig[distinct], spare[distinct]
         first = np.ones(len(key), dtype=bool)
         first[1:] = key[1:] != key[:-1]
         begins = np.flatnonzero(first)
@@ -186,22 +191,22 @@ def _sketch_rows(n: int, percent: int):
         known = np.full(len(key), 2, dtype=np.int8)
         known[begins] = shared
         return pa.RecordBatch.from_arrays(
-            [pa.array(signed(key)), pa.array(signed(sig)), pa.array(known)], names=["key", "sig", "known"]
+            [pa.array(signed(key)), pa.array(signed(sig)), pa.array(spare.astype(np.int32)), pa.array(known)],
+            names=["key", "sig", "spare", "known"],
         )
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sigs, held = [], [], 0
+        held, rows = [], 0
         for _, offsets, data in text_slices(batches):
             hashes, bounds = shingle_sets(offsets, data, n)
-            key, owner = range_sketches(hashes, bounds, percent)
-            keys.append(key)
-            sigs.append(_signatures(hashes, bounds)[owner])
-            held += len(key)
-            if held >= _FOLD_ROWS:
-                yield fold(keys, sigs)
-                keys, sigs, held = [], [], 0
-        if held:
-            yield fold(keys, sigs)
+            key, owner, spare = range_sketches(hashes, bounds, percent)
+            held.append((key, _signatures(hashes, bounds)[owner], spare))
+            rows += len(key)
+            if rows >= _FOLD_ROWS:
+                yield fold(held)
+                held, rows = [], 0
+        if rows:
+            yield fold(held)
 
     return spread
 
@@ -210,7 +215,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key, those whose key some other set has; a key's rows may run over batches."""
     rest = None
     for batch in batches:
-        columns = [batch.column(c).to_numpy() for c in ("key", "sig", "known")]
+        columns = [batch.column(c).to_numpy() for c in ("key", "sig", "spare", "known")]
         if rest is not None:
             columns = [np.concatenate([a, b]) for a, b in zip(rest, columns, strict=True)]
         cut = int(np.searchsorted(columns[0], columns[0][-1])) if len(columns[0]) else 0
@@ -221,7 +226,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    key, sig, known = columns
+    key, sig, spare, known = columns
     if len(key) == 0:
         return
     begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -229,7 +234,24 @@ def _shared_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     unlike = (np.minimum.reduceat(sig, begins) != np.maximum.reduceat(sig, begins)) | (known == 1)[begins]
     unlike |= np.maximum.reduceat(known, begins) > 0
     keep = np.repeat(unlike, sizes)
-    yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(sig[keep])], names=["key", "sig"])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(key[keep]), pa.array(sig[keep]), pa.array(spare[keep])], names=["key", "sig", "spare"]
+    )
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of members that stand next to each other in their group, in random orders, as far as a batch holds the group."""
+    for batch in batches:
+        key, sig = (batch.column(c).to_numpy() for c in ("key", "sig"))
+        found = []
+        for turn in range(ORDERS):
+            order = np.lexsort((mixed(sig.view(np.uint64) + np.uint64(turn)), key))
+            a, b = sig[order][:-1], sig[order][1:]
+            together = (key[order][:-1] == key[order][1:]) & (a != b)
+            found.append(np.stack([np.minimum(a, b)[together], np.maximum(a, b)[together]], axis=1))
+        pairs, often = np.unique(np.concatenate(found), axis=0, return_counts=True)
+        a, b = (np.ascontiguousarray(pairs[:, i]) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(often.astype(np.int64))], names=["a", "b", "often"])
 
 
 def _sets(n: int):
@@ -271,21 +293,37 @@ class _Join:
         self.texts, self.n, self.percent = keyed(docs), n, percent
         schema = f"doc_id long, row long, n_shingles long, sig long, {', '.join(f'{b} long' for b in _BITS)}"
         self.described = settle(self.texts.mapInArrow(_describe(n), schema), "described")
-        self.links: list[DataFrame] = []
 
     def members(self) -> DataFrame:
-        """``key, sig`` of all range sketches that two or more different sets share."""
-        rows = self.texts.select("text").mapInArrow(_sketch_rows(self.n, self.percent), "key long, sig long, known byte")
+        """``key, sig, n``: the range sketches that a set has in common with others, without its most frequent ones."""
+        schema = "key long, sig long, spare int, known byte"
+        rows = self.texts.select("text").mapInArrow(_sketch_rows(self.n, self.percent), schema)
         # Rows whose key needs no more matching are dealt by their set, so that a frequent key does not meet in one task.
         dealt = rows.repartition(F.when(F.col("known") == 2, F.xxhash64("key", "sig")).otherwise(F.col("key")))
-        shared = dealt.sortWithinPartitions("key", "sig").mapInArrow(_shared_keys, "key long, sig long")
-        return settle(shared, "shared-sketches")
+        shared = dealt.sortWithinPartitions("key", "sig").mapInArrow(_shared_keys, "key long, sig long, spare int")
+        shared = settle(shared.distinct(), "shared-sketches")
+        counts = settle(shared.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("n")), "sketch-counts")
+        counted = shared.join(counts.hint("merge"), F.col("key") == F.col("_key"))
+        # A set has a bounded number of sketches, so ranking them is a small sort.
+        rank = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("n"), "key"))
+        kept = counted.withColumn("_rank", rank).where("_rank > spare AND n > 1").select("key", "sig", "n")
+        return settle(kept, "members")
+
+    def candidate_sets(self, members: DataFrame) -> None:
+        """Size, sketch and n-grams of every set that has candidates, from one row that has the set."""
+        wanted = settle(members.select(F.col("sig").alias("_sig")).distinct(), "candidate-ids")
+        holders = self.described.groupBy("sig").agg(F.min(F.struct(*_ROW, "n_shingles", *_BITS)).alias("s"))
+        holders = settle(holders.join(wanted.hint("merge"), F.col("sig") == F.col("_sig")).select("sig", "s.*"), "holders")
+        self.sigs = holders.select("sig", "n_shingles", *_BITS)
+        read = rows_named(self.texts, holders.select("sig", *_ROW), ("doc_id", "row")).dropDuplicates(["sig"])
+        self.sets = settle(read.select("sig", "text").mapInArrow(_sets(self.n), "sig long, hashes binary"), "sets")
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Candidates (``a, b``) that sizes and sketches do not rule out."""
-        about = self.sigs
         for side in ("a", "b"):
-            renamed = about.select(F.col("sig").alias(f"_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ["n_shingles", *_BITS]])
+            renamed = self.sigs.select(
+                F.col("sig").alias(f"_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ["n_shingles", *_BITS]]
+            )
             pairs = pairs.join(renamed.hint("merge"), F.col(side) == F.col(f"_{side}"))
         apart: Column = F.lit(0)
         for b in _BITS:
@@ -294,67 +332,45 @@ class _Join:
         allowed = (100 - self.percent) * (small + large)
         return pairs.where((100 * small >= self.percent * large) & ((100 + self.percent) * apart <= allowed)).select("a", "b")
 
-    def check(self, pairs: DataFrame, round_name: str) -> None:
-        """Verify stored candidates and keep those that are links."""
-        needed = settle(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct(), "needed")
-        holders = self.described.groupBy("sig").agg(F.min(F.struct(*_ROW)).alias("s"))
-        holders = holders.join(needed.hint("merge"), "sig").select("sig", "s.*")
-        read = rows_named(self.texts, settle(holders, "holders"), ("doc_id", "row")).dropDuplicates(["sig"])
-        sets = settle(read.select("sig", "text").mapInArrow(_sets(self.n), "sig long, hashes binary"), "sets")
-        one = sets.select(F.col("sig").alias("_a"), F.col("hashes").alias("one"))
-        two = sets.select(F.col("sig").alias("_b"), F.col("hashes").alias("two"))
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Those of stored candidates that are links."""
+        one = self.sets.select(F.col("sig").alias("_a"), F.col("hashes").alias("one"))
+        two = self.sets.select(F.col("sig").alias("_b"), F.col("hashes").alias("two"))
         both = pairs.join(one.hint("merge"), F.col("a") == F.col("_a")).join(two.hint("merge"), F.col("b") == F.col("_b"))
-        links = both.select("a", "b", "one", "two").mapInArrow(_verify(self.percent), "a long, b long")
-        self.links.append(settle(links, f"links-{round_name}"))
-
-    def joined(self) -> DataFrame:
-        """``vertex, component`` of all links found so far."""
-        links = self.links[0]
-        for more in self.links[1:]:
-            links = links.union(more)
-        return settle(components(links), "components")
-
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose two sets are not in one component yet."""
-        found = self.joined()
-        for side in ("a", "b"):
-            named = found.select(F.col("vertex").alias(f"_v{side}"), F.col("component").alias(f"_c{side}"))
-            pairs = pairs.join(named.hint("merge"), F.col(side) == F.col(f"_v{side}"), "left")
-        one, two = F.coalesce("_ca", "a"), F.coalesce("_cb", "b")
-        return pairs.where(one != two).select("a", "b")
+        return settle(both.select("a", "b", "one", "two").mapInArrow(_verify(self.percent), "a long, b long"), name)
 
     def run(self) -> DataFrame:
+        """``vertex, component`` of all sets that link with another."""
         members = self.members()
-        wanted = settle(members.select(F.col("sig").alias("_sig")).distinct(), "candidate-sets")
-        sigs = self.described.groupBy("sig").agg(F.first("n_shingles").alias("n_shingles"), *[F.first(b).alias(b) for b in _BITS])
-        self.sigs = settle(sigs.join(wanted.hint("merge"), F.col("sig") == F.col("_sig")).drop("_sig"), "candidate-sizes")
-
-        least = settle(members.groupBy(F.col("key").alias("_key")).agg(F.min("sig").alias("b")), "least-members")
-        stars = members.join(least.hint("merge"), F.col("key") == F.col("_key")).where("sig <> b")
-        stars = stars.groupBy(F.col("sig").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"))
-        counted = settle(stars, "stars")
-        stars = settle(self.near(counted.select("a", "b")), "near-stars")
-        best = counted.join(stars.hint("merge"), ["a", "b"]).groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-        best = settle(best, "best-stars")
-        self.check(best, "best")
-        self.check(settle(self.apart(stars.join(best, ["a", "b"], "left_anti")), "other-stars"), "stars")
-
-        # Members of one group that are in different components were not compared yet, unless one is the least member.
-        found = self.joined().select(F.col("vertex").alias("_v"), "component")
+        self.candidate_sets(members)
+
+        # Large groups are gathered in parts, small ones as a whole.
+        part = F.pmod(F.xxhash64("sig"), 1 + F.floor(F.col("n") / _GATHERED))
+        gathered = members.select("key", "sig", part.alias("_part")).repartition("key", "_part").sortWithinPartitions("key", "_part")
+        beside = settle(gathered.select("key", "sig").mapInArrow(_neighbours, "a long, b long, often long"), "neighbours")
+        # Neighbours in many groups share many sketches; those are the likeliest to link.
+        beside = beside.groupBy("a", "b").agg(F.sum("often").alias("often"))
+        turn = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("often"), F.xxhash64("a", "b"), "b"))
+        some = settle(beside.withColumn("_turn", turn).where(F.col("_turn") <= PARTNERS).select("a", "b"), "partners")
+        links = self.verified(settle(self.near(some), "near-partners"), "first-links")
+
+        found = settle(components(links), "first-components").select(F.col("vertex").alias("_v"), "component")
         placed = members.join(found.hint("merge"), F.col("sig") == F.col("_v"), "left")
         placed = settle(placed.select("key", "sig", F.coalesce("component", "sig").alias("component")), "placed")
-        kinds = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
-        mixed_keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1")
-        mixed_keys = settle(mixed_keys.select(F.col("key").alias("_key")), "mixed-keys")
+        kinds = placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        mixed_keys = settle(kinds.where("_low < _high").select(F.col("key").alias("_key")), "mixed-keys")
         left = settle(placed.join(mixed_keys.hint("merge"), F.col("key") == F.col("_key")).drop("_key"), "mixed-members")
+        # A member meets the other components of its groups, then their members: never those of its own.
         other = left.select(F.col("key").alias("_key"), F.col("component").alias("_other")).distinct()
         aimed = left.join(other.hint("merge"), (F.col("key") == F.col("_key")) & (F.col("component") < F.col("_other")))
         aimed = settle(aimed.select("key", F.col("sig").alias("a"), "_other"), "aimed-members")
         right = left.select(F.col("key").alias("_key"), F.col("sig").alias("b"), "component")
         pairs = aimed.join(right.hint("merge"), (F.col("key") == F.col("_key")) & (F.col("_other") == F.col("component")))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        self.check(settle(self.near(settle(pairs, "cross-pairs")), "near-pairs"), "pairs")
-        return self.joined()
+        more = self.verified(settle(self.near(settle(pairs, "cross-pairs")), "near-pairs"), "more-links")
+        # The components so far are stars, which stand for their links.
+        stars = found.select(F.col("_v").alias("a"), F.col("component").alias("b"))
+        return settle(components(stars.union(more)), "components")
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
