@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from headway.llm.texts import buffer_of, byte_hash, documents, expand, in_words, lower_ascii, text_slices, words_of
 
 #: Words whose ids a worker process keeps, some 40 bytes each.
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 #: Bytes of text whose words are told apart together.
-_SLICE = 6_000_000
+_SLICE = 3_000_000
 #: Bytes of text whose ids are put together at a time.
 _ASSEMBLE = 2_000_000
 
