@@ -11,6 +11,7 @@ how much text a batch holds; only a single text longer than that is taken as a w
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
@@ -115,14 +116,26 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, offsets, bytes) of bounded slices of batches that have a ``text`` column."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        offsets, _ = buffer_of(batch.column("text"))
-        for first, last in slices(offsets, limit):
-            rows = batch.slice(first, last - first)
-            yield rows, *buffer_of(rows.column("text"))
+    """(rows, offsets, bytes) of bounded slices of batches that have a ``text`` column; the last one done, memory is given back."""
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            offsets, _ = buffer_of(batch.column("text"))
+            for first, last in slices(offsets, limit):
+                rows = batch.slice(first, last - first)
+                yield rows, *buffer_of(rows.column("text"))
+    finally:
+        release_memory()
+
+
+def release_memory() -> None:
+    """Return what a finished task held to the machine: worker processes go on to other tasks, and idle ones stay a while."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 def in_words(data: np.ndarray) -> np.ndarray:

@@ -3,7 +3,7 @@
 Words repeat, so a slice of texts is cut into words, each distinct word is encoded once by the library, and the ids
 are gathered back. Upper-case ASCII is lowered and trailing ``.`` and ``,`` are cut off first, which such a tokenizer (lower
 case, pieces of letters, digits or other symbols, no ids for white space) does anyway and which leaves fewer distinct words. A
-worker process remembers the ids of the last words it met, up to ``REMEMBERED``, under 128-bit keys.
+task remembers the ids of the last words it met, up to ``REMEMBERED``, under 128-bit keys.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from headway.llm.texts import buffer_of, byte_hash, documents, expand, in_words, lower_ascii, text_slices, words_of
+from headway.llm.texts import buffer_of, byte_hash, documents, expand, in_words, lower_ascii, release_memory, text_slices, words_of
 
-#: Words whose ids a worker process keeps, some 40 bytes each.
+#: Words whose ids a task keeps, some 40 bytes each.
 REMEMBERED = 500_000
 #: Bytes of text whose words are told apart together.
 _SLICE = 3_000_000
@@ -47,7 +47,6 @@ class _Memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self._clear()
@@ -84,22 +83,13 @@ class _Memory:
         return self.ids, self.first[place], self.n[place]
 
 
-_MEMORY: list[_Memory] = []
-
-
-def _memory(path: str) -> _Memory:
-    if not _MEMORY or _MEMORY[0].path != path:
-        _MEMORY[:] = [_Memory(path)]
-    return _MEMORY[0]
-
-
 def _encode(path: str, longest: int, end: int):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(path)
+        memory = _Memory(path)
         for rows, offsets, data in text_slices(batches, _SLICE):
             data = lower_ascii(data)
             starts, ends, bounds = word_cuts(offsets, data)
@@ -130,6 +120,8 @@ def _encode(path: str, longest: int, end: int):
                             out[name].append(value)
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
                 low = high
+        del memory
+        release_memory()
 
     return encode
 
