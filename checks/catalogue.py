@@ -11,6 +11,7 @@ from checks import sql_parts as Q
 from checks import transit_tables as feed
 from headway import schemas
 from headway.functions import clock, geo, labels, measures
+from headway.operators import quantiles
 from headway.operators.changes import current_versions, scd1, scd2, versions_as_of
 from headway.operators.latest import keep_latest, latest_snapshot
 from headway.operators.quality import drop_violations, not_null
@@ -460,7 +461,21 @@ def route_delay_from_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(delays.route_delay_patterns(_comparison(spark, sf_dir)))
 
 
-@query("q_daily_summary", _final(Q.readings_parts(), f"{_REPORT_DATE_AS_TEXT} FROM ({Q.DAILY})"))
+@query(
+    "q_exact_percentiles",
+    """SELECT o_orderpriority, ROUND(quantile_cont(o_totalprice, 0.5), 4) AS median_price,
+       ROUND(quantile_cont(o_totalprice, 0.95), 4) AS p95_price FROM orders GROUP BY ALL""",
+)
+def exact_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of fractions; whole seconds are covered by the delay patterns."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    folded = orders.groupBy("o_orderpriority", "o_totalprice").agg(F.count(F.lit(1)).alias("n"))
+    names = {"median_price": 0.5, "p95_price": 0.95}
+    found = quantiles.exact_quantiles(folded, ["o_orderpriority"], "o_totalprice", "n", names)
+    return found.withColumns({name: measures.steady_round(F.col(name), 4) for name in names})
+
+
+@query("q_daily_summary",_final(Q.readings_parts(), f"{_REPORT_DATE_AS_TEXT} FROM ({Q.DAILY})"))
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dates_as_text(corridor_plans.corridor_daily_summary(_readings(spark, sf_dir)))
 

@@ -5,8 +5,9 @@ would swamp a task are found first and take a second way:
 
 1. range-partition their rows by (key, order), which cuts a big key into many ranges;
 2. take the neighbour inside each range;
-3. only the first and last row of every range go to one small window per key, which supplies the
-   neighbour across the cut.
+3. a second window supplies the neighbour across the cut. All rows pass through it, but only the
+   first and last row of every range meet there per key; the others stay in groups of their range,
+   so the ranges need not be computed twice.
 
 Finding hot keys reads the key columns only and counts rows per *slot* of the key hash, so its
 result has a fixed size whatever the data: at most ``KEY_SLOTS`` slot numbers, which is what makes

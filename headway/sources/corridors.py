@@ -47,7 +47,7 @@ def with_geometry(corridors: DataFrame) -> DataFrame:
 
 
 def poll_grid(corridors: DataFrame, first_day: str, days: int) -> DataFrame:
-    """One row per corridor and poll time. Each corridor unfolds its own times, so nothing is shuffled."""
+    """One row per corridor and poll time, none for no days. Each corridor unfolds its own times, so nothing is shuffled."""
     start = F.lit(first_day).cast("timestamp_ntz")
 
     def polls_of(day: Column) -> Column:
@@ -58,7 +58,9 @@ def poll_grid(corridors: DataFrame, first_day: str, days: int) -> DataFrame:
             F.make_dt_interval(mins=F.lit(POLL_MINUTES)),
         )
 
-    every_poll = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(days - 1)), polls_of))
+    # sequence() counts down when its end lies below its start, so it runs one day further and is cut.
+    every_day = F.slice(F.sequence(F.lit(0), F.lit(days)), 1, days)
+    every_poll = F.flatten(F.transform(every_day, polls_of))
     return corridors.withColumn("polled_at", F.explode(every_poll))
 
 
