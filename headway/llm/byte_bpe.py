@@ -33,14 +33,16 @@ class Vocabulary:
     """Ranks of a ``.tiktoken`` file; a token's id is its rank."""
 
     def __init__(self, path: str):
-        self.path = path
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
-            self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
+            self._index(path, {base64.b64decode(token): int(rank) for token, rank in pairs})
+
+    def _index(self, path: str, rank: dict[bytes, int]) -> None:
+        self.path, self.rank = path, rank
         size = max(self.rank.values()) + 1
         self.token: list[bytes] = [b""] * size
-        for token, rank in self.rank.items():
-            self.token[rank] = token
+        for token, own in self.rank.items():
+            self.token[own] = token
         self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int64)
         lengths = np.array([len(t) for t in self.token], dtype=np.int64)
         self.ends = np.cumsum(lengths)
@@ -189,7 +191,7 @@ def stretch_starts(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([offsets[:-1][np.diff(offsets) > 0], cut]))
 
 
-def _distinct(starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+def distinct_pieces(starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """(number of each stretch's distinct form, distinct forms)."""
     where = np.append(starts, len(data)).astype(np.int64)
     array = pa.LargeBinaryArray.from_buffers(
@@ -199,7 +201,7 @@ def _distinct(starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, pa.Arra
     return coded.indices.to_numpy(), coded.dictionary
 
 
-def _encode_stretches(vocab: Vocabulary, pattern: str, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def encode_stretches(vocab: Vocabulary, pattern: str, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids, bounds) of distinct stretches."""
     find = regex.compile(pattern).findall
     matches = [find(s) for s in stretches.cast(pa.large_string()).to_pylist()]
@@ -222,8 +224,8 @@ def _encode(path: str, pattern: str):
         vocab = vocabulary(path)
         for rows, offsets, data in text_slices(batches, _SLICE):
             starts = stretch_starts(offsets, data)
-            nth, forms = _distinct(starts, data)
-            ids, bounds = _encode_stretches(vocab, pattern, forms)
+            nth, forms = distinct_pieces(starts, data)
+            ids, bounds = encode_stretches(vocab, pattern, forms)
             lengths = np.diff(bounds)
             of_text = np.searchsorted(starts, offsets)
             low = 0
