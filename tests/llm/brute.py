@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections import Counter
+
+import numpy as np
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -110,3 +114,46 @@ def structure(text: str | None) -> tuple:
         if windows.count(x) > 1:
             covered[i : i + 5] = [True] * 5
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), sum(covered)
+
+
+def alignment(a: list[bytes], b: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[list[int], list[int]]]]:
+    """Links (A index, B index) of two token rows over the same bytes, and the groups between common ends."""
+    ends_a, ends_b = (np.cumsum([len(t) for t in tokens]).tolist() for tokens in (a, b))
+    span_a, span_b = (list(zip([0, *ends][:-1], ends, strict=True)) for ends in (ends_a, ends_b))
+    links = [(i, k) for i, (s, e) in enumerate(span_a) for k, (f, g) in enumerate(span_b) if max(s, f) < min(e, g)]
+    groups, low = [], 0
+    for cut in sorted(set(ends_a) & set(ends_b)):
+        groups.append(tuple([i for i, (_, e) in enumerate(spans) if low < e <= cut] for spans in (span_a, span_b)))
+        low = cut
+    return links, groups
+
+
+def spelling(rows: list[tuple[int | None, str | None]]) -> list[tuple]:
+    """(word, n, n_near, form, form_n, root) of every word."""
+    lower = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+    seen: Counter = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(lower)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            seen[run] += 1
+    n = {w: k for w, k in seen.items() if len(w) >= 7 and k >= 2}
+
+    def near(a: str, b: str) -> bool:
+        a, b = sorted((a, b), key=len)
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    of = {w: [v for v in n if near(w, v)] for w in n}
+    best = {w: min(vs, key=lambda v: (-n[v], v)) for w, vs in of.items() if vs}
+    form = {w: v for w, v in best.items() if n[v] >= 10 * n[w]}
+    out = []
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, n[w], len(of[w]), form.get(w), n.get(form.get(w)), root))
+    return out
