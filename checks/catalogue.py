@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import sql_parts as Q
 from checks import transit_tables as feed
@@ -14,14 +15,15 @@ from headway.functions import clock, geo, labels, measures
 from headway.operators import quantiles
 from headway.operators.changes import current_versions, scd1, scd2, versions_as_of
 from headway.operators.latest import keep_latest, latest_snapshot
+from headway.operators.ordered import with_neighbour
 from headway.operators.quality import drop_violations, not_null
 from headway.plans import corridors as corridor_plans
 from headway.plans import delays, readings, segments
 from headway.plans.workflow import Workflow, run_all
 from headway.session import shared_dir
 from headway.sources import corridors as corridor_source
-from headway.sources import feeds, tables
-from headway.streaming import changeflow, ingest
+from headway.sources import feeds, layout, tables
+from headway.streaming import changeflow, ingest, observed
 
 # Sketches are exact at this accuracy for groups of up to a million rows, which makes them comparable.
 EXACT_ACCURACY = 1_000_000
@@ -161,6 +163,74 @@ def path_snapshot_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "q_provenance",
+    f"""SELECT gtfs_snapshot_date, count(*) AS rows, count(*) AS from_csv FROM ({feed.SQL['customer_routes']}) GROUP BY ALL""",
+)
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per snapshot date taken from the folder, and how many of them name the file they came from."""
+    root = shared_dir(spark, "provenance")
+    rows = feed.customer_routes(spark, sf_dir)
+    feeds.write_schedule_snapshots(rows, f"{root}/landing", schemas.ROUTES, F.col(schemas.SNAPSHOT_DATE))
+    bronze = ingest.ingest_feed(spark, schemas.ROUTES, f"{root}/landing", f"{root}/bronze", "by_file")
+    named = F.col(schemas.SOURCE_FILE).rlike("^part-.*[.]csv$")
+    return bronze.groupBy(schemas.SNAPSHOT_DATE).agg(F.count(F.lit(1)).alias("rows"), F.count_if(named).alias("from_csv"))
+
+
+@query(
+    "q_arrival_time",
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows, count(*) AS from_json, count(*) AS arrived
+       FROM events GROUP BY ALL""",
+)
+def arrival_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings per day, how many name their file, and how many arrived after this query began and not later than now."""
+    root = shared_dir(spark, "arrival")
+    began = F.lit(spark.sql("SELECT current_timestamp() - INTERVAL 1 MINUTE AS t").first().t)
+    rows = feed.traffic(spark, sf_dir, every_event=True).drop(schemas.SOURCE_FILE, schemas.ARRIVAL_TIME)
+    feeds.write_traffic_days(rows, f"{root}/landing")
+    bronze = ingest.ingest_feed(spark, schemas.TRAFFIC, f"{root}/landing", f"{root}/bronze")
+    arrived = F.col(schemas.ARRIVAL_TIME).between(began, F.current_timestamp() + F.expr("INTERVAL 1 MINUTE"))
+    return bronze.groupBy(F.date_format("polled_at", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(schemas.SOURCE_FILE).rlike("^part-.*[.]json$")).alias("from_json"),
+        F.count_if(arrived).alias("arrived"),
+    )
+
+
+_DAILY_TABLE = "gold_corridor_daily_summary"
+
+
+@query(
+    "q_table_metadata",
+    _final(
+        Q.readings_parts(),
+        f"""SELECT m.*, (SELECT count(*) FROM ({Q.DAILY})) AS rows FROM (VALUES
+            ('daily', 'comment', 'One row per corridor and date'), ('daily', 'quality', 'gold'),
+            ('copy', 'comment', 'Physical snapshot of {_DAILY_TABLE}'), ('copy', 'quality', 'gold'),
+            ('copy', 'source_mv', 'schema.{_DAILY_TABLE}')) AS m("table", "key", "value")""",
+    ),
+)
+def table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment and properties of a stored dataset and of its snapshot, as the catalog has them."""
+    root = shared_dir(spark, "metadata")
+    schema = "headway_" + root[-12:]
+    physical = f"{schema}_physical"
+    tables.create_schema(spark, schema, f"{root}/{schema}")
+    daily = corridor_plans.corridor_daily_summary(_readings(spark, sf_dir))
+    tables.materialize_by_date(
+        daily, f"{schema}.{_DAILY_TABLE}", "report_date", "One row per corridor and date", {"quality": "gold"}
+    )
+    tables.snapshot_tables(spark, schema, [_DAILY_TABLE], physical, f"{root}/{physical}", {_DAILY_TABLE: ("report_date", None)})
+    found = []
+    for name, within in (("daily", schema), ("copy", physical)):
+        table = f"{within}.{_DAILY_TABLE}"
+        described = tables.table_metadata(spark, table).select(
+            F.lit(name).alias("table"), "key", F.replace("value", F.lit(schema), F.lit("schema")).alias("value")
+        )
+        found.append(described.crossJoin(spark.table(table).agg(F.count(F.lit(1)).alias("rows"))))
+    return found[0].unionByName(found[1])
+
+
 @query("q_snapshot_table", _final(Q.readings_parts(), f"{_REPORT_DATE_AS_TEXT} FROM ({Q.DAILY})"))
 def snapshot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "snapshot")
@@ -181,10 +251,25 @@ def snapshot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "clustered")
     rows = feed.traffic(spark, sf_dir).drop(schemas.ARRIVAL_TIME)
-    tables.cluster(rows, ["corridor_id", "polled_at"]).write.parquet(path)
+    layout.cluster(rows, ingest.CLUSTER_BY).write.parquet(path)
     return spark.read.parquet(path)
 
 
+@query(
+    "q_clustered_skips",
+    """SELECT c AS filtered_on, count(*) AS rows, true AS skips_half FROM events, (VALUES ('corridor_id'), ('polled_at')) AS f(c)
+       GROUP BY c""",
+)
+def clustered_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a filter on one corridor, and one on one time, lets at least half of the row groups unread; a file is one."""
+    path = shared_dir(spark, "clustered")
+    rows = feed.traffic(spark, sf_dir, every_event=True)
+    layout.cluster(rows, ingest.CLUSTER_BY, partitions=64).write.parquet(path)
+    found = [layout.files_read(spark, path, c).withColumn("filtered_on", F.lit(c)) for c in ingest.CLUSTER_BY]
+    both = found[0].unionByName(found[1])
+    return both.select("filtered_on", "rows", (F.col("files_read") * 2 <= F.col("files")).alias("skips_half"))
+
+
 @query("q_corridor_json", f"SELECT * FROM ({feed.SQL['corridors']})")
 def corridor_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested dimension through files that each hold one JSON array of up to a thousand corridors."""
@@ -209,6 +294,71 @@ def expect_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_violations(feed.table(spark, sf_dir, "customer"), expectations)
 
 
+_DAMAGED_SQL = f"""SELECT CASE WHEN n % 13 > 0 THEN route_id END AS route_id, n % 11 = 0 AS damaged
+    FROM (SELECT *, CAST(route_id AS BIGINT) AS n FROM ({feed.SQL['customer_routes']}))"""
+
+
+@query(
+    "q_stream_metrics",
+    f"""SELECT 'expectations:routes' AS observation, 'rows_in' AS metric, count(*) AS value FROM ({_DAMAGED_SQL})
+        UNION ALL SELECT 'expectations:routes', 'dropped_route_id_not_null', count(*) - count(route_id) FROM ({_DAMAGED_SQL})
+        UNION ALL SELECT 'casts:bronze_gtfs_routes', 'failed_route_type', count_if(damaged) FROM ({_DAMAGED_SQL})
+        UNION ALL SELECT 'casts:bronze_traffic_api', m, CASE m WHEN 'failed_duration_seconds'
+               THEN (SELECT count_if(event_id % 17 = 0) FROM events) ELSE 0 END
+        FROM (SELECT unnest(['failed_origin_lat', 'failed_origin_lng', 'failed_dest_lat', 'failed_dest_lng',
+              'failed_duration_seconds', 'failed_static_duration_seconds', 'failed_distance_meters', 'failed_congestion_ratio',
+              'failed_polled_at', 'unreadable']) AS m)""",
+)
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that expectations dropped and casts that failed, as the streams reported them."""
+    root = shared_dir(spark, "metrics")
+    number = F.col("route_id").cast("long")
+    routes = feed.customer_routes(spark, sf_dir).withColumns(
+        {
+            "route_type": F.when(F.pmod(number, F.lit(11)) == 0, "tram?").otherwise(F.col("route_type").cast("string")),
+            "route_id": F.when(F.pmod(number, F.lit(13)) > 0, F.col("route_id")),
+        }
+    )
+    feeds.write_schedule_snapshots(routes, f"{root}/routes", schemas.ROUTES, F.col(schemas.SNAPSHOT_DATE))
+    polled = feed.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("corridor_"), "user_id").alias("corridor_id"),
+        F.when(F.pmod("event_id", F.lit(17)) == 0, "soon").otherwise("105").alias("duration_seconds"),
+    )
+    text = F.concat(F.lit('{"corridor_id":"'), "corridor_id", F.lit('","duration_seconds":'), F.when(F.col("duration_seconds") == "soon", '"soon"').otherwise("105"), F.lit("}"))
+    polled.select(text.alias("value")).write.text(f"{root}/traffic")
+    metrics = observed.MetricsCollector(f"{root}/metrics")
+    spark.streams.addListener(metrics)
+    try:
+        running = [
+            ingest.start_ingest(spark, schemas.ROUTES, f"{root}/routes", f"{root}/bronze", "by_file"),
+            ingest.start_ingest(spark, schemas.TRAFFIC, f"{root}/traffic", f"{root}/bronze"),
+        ]
+        for started in running:
+            started.awaitTermination()
+        hidden = (schemas.SOURCE_FILE, schemas.SNAPSHOT_DATE)
+        flow = changeflow.ChangeFlow(f"{root}/routes_target/routes", ("route_id",), schemas.SNAPSHOT_DATE, hidden, not_null("route_id"))
+        bronze = ingest.stream_bronze(spark, schemas.ROUTES, f"{root}/bronze")
+        running.append(changeflow.start_scd1(flow, bronze, f"{root}/checkpoint"))
+        running[-1].awaitTermination()
+        metrics.store(spark, running)
+    finally:
+        spark.streams.removeListener(metrics)
+    return observed.totals(observed.read_metrics(spark, f"{root}/metrics"))
+
+
+@query(
+    "q_next_of_type",
+    """SELECT event_id, event_type, lead(event_id) OVER w AS next_event_id, lead(user_id) OVER w AS next_user_id FROM events
+       WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
+)
+def next_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next event of the same type: five keys hold all rows."""
+    events = feed.table(spark, sf_dir, "events")
+    picks = {"next_event_id": F.col("event_id"), "next_user_id": F.col("user_id")}
+    order = [F.col("ts"), F.col("event_id")]
+    return with_neighbour(events, ["event_type"], order, picks).select("event_id", "event_type", *picks)
+
+
 @query(
     "q_dedup_latest",
     """SELECT user_id, event_type, date_trunc('hour', ts) AS hour, event_id, value FROM events
@@ -306,6 +456,29 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changeflow.read_state(spark, flow)
 
 
+_NULL_KEYS = f"SELECT * REPLACE (CASE WHEN o_custkey % 10 > 0 THEN o_custkey END AS o_custkey) FROM ({feed.SQL['changes']})"
+
+
+@query(
+    "q_scd2_null_keys",
+    _final([("feed", _NULL_KEYS)], Q.versions("feed", "o_custkey", ["o_orderpriority", "o_orderstatus"], "seq")),
+)
+def scd2_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental flow without an expectation, where a tenth of the keys are NULL and count as one key."""
+    root = shared_dir(spark, "scd2-null")
+    flow = changeflow.ChangeFlow(f"{root}/target", ("o_custkey",), "seq", ("seq",))
+    key = F.when(F.pmod("o_custkey", F.lit(10)) > 0, F.col("o_custkey"))
+
+    def fold(stream: DataFrame) -> None:
+        def history(session: SparkSession) -> DataFrame:
+            return session.read.parquet(f"{root}/feed").withColumn("o_custkey", key)
+
+        changeflow.run_scd2(flow, stream.withColumn("o_custkey", key), history, f"{root}/checkpoint")
+
+    _two_deliveries(spark, sf_dir, root, fold)
+    return changeflow.read_state(spark, flow)
+
+
 @query(
     "q_latest_snapshot", "SELECT * FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)"
 )
@@ -485,6 +658,20 @@ def congestion_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corridor_plans.congestion_patterns(_readings(spark, sf_dir), EXACT_ACCURACY)
 
 
+@query("q_congestion_default", QUERIES["q_congestion_patterns"].sql)
+def congestion_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the accuracy that users get; it is exact where a group has fewer readings than that."""
+    return corridor_plans.congestion_patterns(_readings(spark, sf_dir))
+
+
+@query("q_congestion_merged", QUERIES["q_congestion_patterns"].sql)
+def congestion_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From one stored state per date, sketches included, merged."""
+    path = shared_dir(spark, "congestion-state")
+    corridor_plans.congestion_state(_readings(spark, sf_dir)).write.partitionBy("poll_date").parquet(path)
+    return corridor_plans.congestion_patterns_of(spark.read.parquet(path))
+
+
 @query(
     "q_typical_value",
     _final(
@@ -563,11 +750,9 @@ def grid_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- everything in one run ---------------------------------------------------------------------
 
 
-@query("q_workflow", _final([*Q.comparison_parts(every_event=True), ("delays", Q.DELAYS)], "SELECT * FROM delays"))
-def workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feeds written as files, then ingest, change tracking, analyses and snapshots as one run."""
-    root = shared_dir(spark, "workflow")
-    landing = f"{root}/schedule"
+def _delivered(spark: SparkSession, sf_dir: str, root: str, polled: list[DataFrame]) -> str:
+    """The feeds written as files, the readings in several deliveries with a whole run after each; returns the schema."""
+    landing, schema = f"{root}/schedule", "headway_" + root[-12:]
     for dataset, rows in (
         (schemas.ROUTES, feed.routes),
         (schemas.STOPS, feed.stops),
@@ -575,11 +760,65 @@ def workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
         (schemas.STOP_TIMES, feed.stop_times),
     ):
         feeds.write_schedule_snapshots(rows(spark, sf_dir), landing, dataset, F.col(schemas.SNAPSHOT_DATE))
-    polled = feed.traffic(spark, sf_dir, every_event=True).drop(schemas.SOURCE_FILE, schemas.ARRIVAL_TIME)
-    feeds.write_traffic_days(polled, f"{root}/traffic")
-    schema = "headway_" + root[-12:]
-    run_all(
-        spark,
-        Workflow(landing, f"{root}/traffic", f"{root}/storage", schema, tables=f"{root}/tables", layout="by_file"),
-    )
+    flow = Workflow(landing, f"{root}/traffic", f"{root}/storage", schema, tables=f"{root}/tables", layout="by_file")
+    for delivery in polled:
+        feeds.write_traffic_days(delivery, f"{root}/traffic")
+        run_all(spark, flow)
+    return schema
+
+
+def _thousandths(ratio: str) -> Column:
+    return F.round(F.col(ratio) * 1000).cast("long")
+
+
+def _delivered_totals() -> dict[str, tuple]:
+    """Result: its table, and what is added up of it."""
+    ratios = [_thousandths(f"{name}_congestion_ratio") for name in ("median", "p95")]
+    return {
+        "delays": ("gold_route_delay_patterns", "sample_size", "median_delay_seconds", "pct_delayed"),
+        "patterns": ("gold_congestion_patterns", "num_observations", *ratios),
+        "daily": ("gold_corridor_daily_summary", "num_readings", "avg_duration_seconds", "avg_distance_meters"),
+        "comparison": ("gold_schedule_vs_actual", "actual_seconds", "delay_seconds", "scheduled_seconds"),
+    }
+
+
+def _polled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.traffic(spark, sf_dir, every_event=True).drop(schemas.SOURCE_FILE, schemas.ARRIVAL_TIME)
+
+
+@query("q_workflow", _final([*Q.comparison_parts(every_event=True), ("delays", Q.DELAYS)], "SELECT * FROM delays"))
+def workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds written as files, then ingest, change tracking, analyses and snapshots as one run."""
+    schema = _delivered(spark, sf_dir, shared_dir(spark, "workflow"), [_polled(spark, sf_dir)])
     return _comparable(spark.table(f"{schema}_physical.gold_route_delay_patterns"))
+
+
+@query(
+    "q_workflow_two_deliveries",
+    _final(
+        [*Q.comparison_parts(every_event=True), ("delays", Q.DELAYS), ("patterns", Q.PATTERNS), ("daily", Q.DAILY)],
+        """SELECT 'delays' AS result, hour_of_day, day_type, COUNT(*) AS rows, SUM(sample_size)::BIGINT AS n,
+                  SUM(median_delay_seconds) AS a, ROUND(SUM(pct_delayed), 1) AS b FROM delays GROUP BY ALL
+           UNION ALL SELECT 'patterns', hour_of_day, day_type, COUNT(*), SUM(num_observations)::BIGINT,
+                  SUM(CAST(median_congestion_ratio * 1000 AS BIGINT)) + 0e0, SUM(CAST(p95_congestion_ratio * 1000 AS BIGINT)) + 0e0
+                  FROM patterns GROUP BY ALL
+           UNION ALL SELECT 'daily', NULL, day_type, COUNT(*), SUM(num_readings)::BIGINT, SUM(avg_duration_seconds) + 0e0,
+                  SUM(avg_distance_meters) + 0e0 FROM daily GROUP BY ALL
+           UNION ALL SELECT 'comparison', hour_of_day, day_type, COUNT(*), SUM(actual_seconds)::BIGINT, SUM(delay_seconds),
+                  SUM(scheduled_seconds) FROM comparison GROUP BY ALL""",
+    ),
+)
+def workflow_two_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later dates, and a few late readings of earlier ones, come in a second delivery; all results are those of one."""
+    polled = _polled(spark, sf_dir)
+    second = (F.dayofmonth("polled_at") > 20) | ((F.dayofmonth("polled_at") == 3) & (F.hour("polled_at") == 9))
+    schema = _delivered(spark, sf_dir, shared_dir(spark, "deliveries"), [polled.where(~second), polled.where(second)])
+    found = []
+    for result, (table, *measured) in _delivered_totals().items():
+        rows = spark.table(f"{schema}_physical.{table}")
+        hour = F.col("hour_of_day") if "hour_of_day" in rows.columns else F.lit(None).cast("int")
+        n, a, b = measured
+        totals = [F.sum(n).alias("n"), F.round(F.sum(a), 1).cast("double").alias("a"), F.round(F.sum(b), 1).cast("double").alias("b")]
+        summed = rows.groupBy(hour.alias("hour_of_day"), "day_type").agg(F.count(F.lit(1)).alias("rows"), *totals)
+        found.append(summed.withColumn("result", F.lit(result)))
+    return reduce(DataFrame.unionByName, found)

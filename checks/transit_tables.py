@@ -89,8 +89,8 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("route_desc"),
         (F.col("n_regionkey") + 1).cast("int").alias("route_type"),
         F.lit(None).cast("string").alias("route_url"),
-        F.lit("0000FF").alias("route_color"),
-        F.lit("FFFFFF").alias("route_text_color"),
+        F.lpad(key.cast("string"), 6, "0").alias("route_color"),
+        F.lpad((key + 1).cast("string"), 6, "0").alias("route_text_color"),
         "gtfs_snapshot_date",
     )
 
@@ -108,8 +108,8 @@ def customer_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("route_desc"),
         (F.pmod("c_nationkey", F.lit(5)) + 1).cast("int").alias("route_type"),
         F.lit(None).cast("string").alias("route_url"),
-        F.lit("0000FF").alias("route_color"),
-        F.lit("FFFFFF").alias("route_text_color"),
+        F.lpad(key.cast("string"), 6, "0").alias("route_color"),
+        F.lpad((key + 1).cast("string"), 6, "0").alias("route_text_color"),
         "gtfs_snapshot_date",
     )
 
@@ -121,9 +121,9 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select(
         (key + 50_000).cast("string").alias("stop_id"),
         (key + 50_000).cast("string").alias("stop_code"),
-        F.concat("p_name", F.when(moved, " (Relocated)").otherwise("")).alias("stop_name"),
+        F.concat("p_name", F.when(moved, F.concat(F.lit(" at "), "p_brand")).otherwise("")).alias("stop_name"),
         F.lit(None).cast("string").alias("stop_desc"),
-        (49.0 + F.pmod(key, F.lit(1000)) / 1000.0 + F.when(moved, 0.001).otherwise(0.0)).alias("stop_lat"),
+        (49.0 + F.pmod(key, F.lit(1000)) / 1000.0 + F.when(moved, F.col("p_size") / 500.0).otherwise(0.0)).alias("stop_lat"),
         (-123.0 - F.pmod(key, F.lit(700)) / 1000.0).alias("stop_lon"),
         F.col("p_brand").alias("zone_id"),
         F.lit(None).cast("string").alias("stop_url"),
@@ -237,19 +237,21 @@ SQL = {
         CAST(n_nationkey AS VARCHAR) AS route_short_name,
         n_name || CASE WHEN k = 2 AND n_nationkey % 7 = 0 THEN ' (Express)' ELSE '' END AS route_long_name,
         CAST(NULL AS VARCHAR) AS route_desc, CAST(n_regionkey + 1 AS INTEGER) AS route_type,
-        CAST(NULL AS VARCHAR) AS route_url, '0000FF' AS route_color, 'FFFFFF' AS route_text_color,
+        CAST(NULL AS VARCHAR) AS route_url, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS route_color,
+        lpad(CAST(n_nationkey + 1 AS VARCHAR), 6, '0') AS route_text_color,
         gtfs_snapshot_date
         FROM nation, {_THREE}""",
     "customer_routes": f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS route_id, c_mktsegment AS agency_id,
         CAST(c_custkey AS VARCHAR) AS route_short_name,
         c_name || CASE WHEN k = 2 AND c_custkey % 7 = 0 THEN ' (Express)' ELSE '' END AS route_long_name,
         CAST(NULL AS VARCHAR) AS route_desc, CAST(c_nationkey % 5 + 1 AS INTEGER) AS route_type,
-        CAST(NULL AS VARCHAR) AS route_url, '0000FF' AS route_color, 'FFFFFF' AS route_text_color,
+        CAST(NULL AS VARCHAR) AS route_url, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS route_color,
+        lpad(CAST(c_custkey + 1 AS VARCHAR), 6, '0') AS route_text_color,
         gtfs_snapshot_date
         FROM customer, {_THREE}""",
     "stops": f"""SELECT CAST(p_partkey + 50000 AS VARCHAR) AS stop_id, CAST(p_partkey + 50000 AS VARCHAR) AS stop_code,
-        p_name || CASE WHEN moved THEN ' (Relocated)' ELSE '' END AS stop_name, CAST(NULL AS VARCHAR) AS stop_desc,
-        49e0 + (p_partkey % 1000) / 1e3 + CASE WHEN moved THEN 0.001::DOUBLE ELSE 0e0 END AS stop_lat,
+        p_name || CASE WHEN moved THEN ' at ' || p_brand ELSE '' END AS stop_name, CAST(NULL AS VARCHAR) AS stop_desc,
+        49e0 + (p_partkey % 1000) / 1e3 + CASE WHEN moved THEN p_size / 5e2 ELSE 0e0 END AS stop_lat,
         -123e0 - (p_partkey % 700) / 1e3 AS stop_lon, p_brand AS zone_id, CAST(NULL AS VARCHAR) AS stop_url,
         0 AS location_type, CAST(NULL AS VARCHAR) AS parent_station,
         CAST(p_size % 2 AS INTEGER) AS wheelchair_boarding, gtfs_snapshot_date

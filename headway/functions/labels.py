@@ -19,6 +19,7 @@ ROUTE_TYPE_OTHER = "other"
 
 # Spark numbers Sunday 1 and Saturday 7.
 WEEKEND_DAYS = (1, 7)
+DAY_TYPES = ("weekday", "weekend")
 
 
 def _first_match(cases: list[tuple[Column, str]], otherwise: str) -> Column:

@@ -1,7 +1,10 @@
 """Next or previous row within a key, safe when one key holds a large part of all rows.
 
-``lead`` and ``lag`` put a whole key into one task. For most keys that is right. Keys whose rows
-would swamp a task are found first and take a second way:
+``lead`` and ``lag`` put a whole key into one task. :func:`with_neighbour` cuts keys that hold more than a task's share
+(see :mod:`headway.operators.cuts`), shuffles every row once and exchanges one row per cut.
+
+Version histories compare a row with several others. Their keys whose rows would swamp a task are found first and take a way of
+their own, :func:`neighbour_by_range`:
 
 1. range-partition their rows by (key, order), which cuts a big key into many ranges;
 2. take the neighbour inside each range;
@@ -21,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from headway.operators.cuts import KeyCuts
 from headway.session import shuffle_partitions
 
 KEY_SLOTS = 65_536
@@ -57,14 +61,8 @@ def _shift(column: Column, step: int) -> Column:
     return F.lead(column) if step > 0 else F.lag(column)
 
 
-def neighbour_by_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column], picks: dict[str, Column], step: int = 1) -> DataFrame:
-    """One window for all picks: one shuffle, one sort."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumns({name: _shift(value, step).over(window) for name, value in picks.items()})
-
-
 def neighbour_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], picks: dict[str, Column], step: int = 1) -> DataFrame:
-    """Same result as :func:`neighbour_by_window` without ever putting a whole key into one task."""
+    """Like :func:`with_neighbour`, over ranges of all rows."""
     columns = df.columns
     ranges = shuffle_partitions(df.sparkSession)
     cut = df.repartitionByRange(ranges, *[F.col(k) for k in keys], *order).withColumn("_range", F.spark_partition_id())
@@ -96,14 +94,34 @@ def with_neighbour(
     order: Sequence[Column],
     picks: dict[str, Column],
     step: int = 1,
-    hot_rows: int | None = HOT_SLOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``picks`` evaluated on the next (``step=1``) or previous (``step=-1``) row of the same key.
 
-    ``hot_rows=None`` skips the search for hot keys, for callers that know their keys are small.
+    ``order`` are ascending columns; rows equal in all of them should be equal in what is picked.
+    """
+    return neighbour_in_chunks(df, KeyCuts.of(df, keys, order, ranges), picks, step).drop("_chunk")
+
+
+def neighbour_in_chunks(df: DataFrame, cuts: KeyCuts, picks: dict[str, Column], step: int = 1) -> DataFrame:
+    """:func:`with_neighbour` for given cuts; rows stay dealt by the keys and ``_chunk``, which is kept.
+
+    Rows are shuffled once, by key and chunk. What the outermost row of a chunk lacks is the nearest row of the next chunk: of each
+    chunk that one row is exchanged, found by an aggregation that map tasks do most of.
     """
-    ordinary, hot = split_by_heat(df, keys, hot_rows)
-    found = neighbour_by_window(ordinary, keys, order, picks, step)
-    if hot is None:
-        return found
-    return found.unionByName(neighbour_by_range(hot, keys, order, picks, step))
+    keys, found = list(cuts.keys), F.struct(*[value.alias(name) for name, value in picks.items()])
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*cuts.order)
+    paired = cuts.chunked(df).withColumn("_found", _shift(found, step).over(inside))
+    nearest = F.min_by if step > 0 else F.max_by
+    place = F.struct(*cuts.order)
+    edges = cuts.chunked(df, "inner").groupBy(*keys, "_chunk").agg(nearest(found, place).alias("_edge"))
+    across = _shift(F.col("_edge"), step).over(Window.partitionBy(*keys).orderBy("_chunk"))
+    # A row per chunk of a cut key: no more than there are cuts and cut keys.
+    beyond = edges.select(*[F.col(k).alias(f"_edge_{k}") for k in keys], F.col("_chunk").alias("_edge_chunk"), across.alias("_across"))
+    beyond = F.broadcast(beyond.where(F.col("_across").isNotNull()))
+    same = paired["_chunk"] == beyond["_edge_chunk"]
+    for key in keys:
+        same &= paired[key].eqNullSafe(beyond[f"_edge_{key}"])
+    answer = F.coalesce("_found", "_across")
+    joined = paired.join(beyond, same, "left")
+    return joined.select(*df.columns, "_chunk", *[answer[name].alias(name) for name in picks])

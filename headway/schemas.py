@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 SNAPSHOT_DATE = "gtfs_snapshot_date"
 SOURCE_FILE = "_source_file"
 ARRIVAL_TIME = "_file_arrival_time"
+POLL_DATE = "poll_date"
+# Folders of a dataset that is stored batch by batch.
+GENERATION, BATCH = "generation", "batch"
 
 
 _TYPES = {"STRING": T.StringType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType()}
