@@ -7,7 +7,7 @@ token ends first; tokens that end together are a cut. Finished documents leave t
 doesn't keep the vector going alone, it enters as runs of at most ``RUN`` A tokens, each starting at the B token that covers its first byte.
 
 How often two ids are linked is known only after all documents. A slice stores its documents' links as numbers into the slice's
-list of distinct id pairs; lists, not links, are added up over all slices and joined back.
+list of distinct id pairs; these lists, not links, are added up over all slices and joined back.
 """
 
 from __future__ import annotations
@@ -15,32 +15,62 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from headway.llm.byte_bpe import Vocabulary, encode_stretches, stretch_starts, distinct_pieces
-from headway.llm.piece_bpe import Pieces, encode_words, pieces_of, spaced_buffer, word_starts
+from headway.llm.byte_bpe import distinct_pieces, stretch_starts
+from headway.llm.piece_bpe import NONE, Merges, encode_words, merge_rounds, pieces_of, spaced_buffer, word_starts
 from headway.llm.texts import buffer_of, documents, expand, settle, text_slices
 
 #: A tokens that one entry of the state vector covers at most.
 RUN = 256
-#: Bytes of text that are aligned together.
-_SLICE = 2_000_000
+#: Bytes of text that are aligned together, and tokens whose groups are spelled together.
+_SLICE = 1_000_000
+_SPELLED = 200_000
+#: Links in one row of the stored table; long rows would cost the JVM much memory.
+_LINKS = 100_000
 
 
-class ByteVocabulary(Vocabulary):
+class ByteMerges(Merges):
     """The byte-level vocabulary of a ``tokenizers`` file: tokens are spelled with a printable character for each byte."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)
-        added = {t["id"] for t in model["added_tokens"]}
-        spelled = {token: i for token, i in model["model"]["vocab"].items() if i not in added}
-        of_sign = printable_bytes()
-        self._index(path, {bytes(of_sign[c] for c in token): i for token, i in spelled.items()})
+            model = json.load(file)["model"]
+        ids, of_sign = model["vocab"], printable_bytes()
+        surfaces = [b""] * (max(ids.values()) + 1)
+        for token, i in ids.items():
+            surfaces[i] = bytes(of_sign.get(c, 0) for c in token)
+        self.of_byte = np.empty(256, dtype=np.int64)
+        for sign, byte in of_sign.items():
+            self.of_byte[byte] = ids[sign]
+        rank, pairs = np.full(len(surfaces), NONE, dtype=np.int64), []
+        for nth, merge in enumerate(model["merges"]):
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            made = ids[left + right]
+            rank[made] = min(rank[made], nth)
+            pairs.append((ids[left], ids[right], made))
+        super().__init__(pairs, rank, surfaces)
+
+
+def encode_stretches(merges: ByteMerges, pattern: str, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, bounds) of distinct stretches of text, every match of the pattern merged by itself."""
+    find = regex.compile(pattern).findall
+    matches = [find(s) for s in stretches.cast(pa.large_string()).to_pylist()]
+    coded = pa.array([m for own in matches for m in own], type=pa.large_string()).dictionary_encode()
+    nth = coded.indices.to_numpy()
+    offsets, data = buffer_of(coded.dictionary)
+    ids, lengths = merge_rounds(merges, merges.of_byte[data], np.diff(offsets))
+    first, count = np.cumsum(lengths) - lengths, lengths[nth]
+    ends = np.append(0, np.cumsum(count))
+    of_stretch = np.append(0, np.cumsum(np.fromiter(map(len, matches), dtype=np.int64, count=len(matches))))
+    return ids[expand(first[nth], count)], ends[of_stretch]
 
 
 def printable_bytes() -> dict[str, int]:
@@ -58,16 +88,6 @@ class Tokens:
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
 
-    @classmethod
-    def gathered(cls, ids, id_bounds, id_lengths, nth, of_text, alive) -> Tokens:
-        """From distinct forms: ``nth`` names the form of every stretch, ``of_text`` each text's first stretch."""
-        chosen = nth[np.repeat(alive, np.diff(of_text))]
-        count = np.diff(id_bounds)[chosen]
-        flat = ids[expand(id_bounds[:-1][chosen], count)]
-        ends = np.append(0, np.cumsum(count))
-        stretches = np.append(0, np.cumsum(np.where(alive, np.diff(of_text), 0)))
-        return cls(flat, id_lengths[flat], ends[stretches])
-
 
 def links_of(a: Tokens, b: Tokens, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(A token, B token) of every link in order, and for all tokens of A and of B whether a cut follows.
@@ -125,29 +145,37 @@ def _spelling(size: int) -> _Spelling:
     return _SPELLINGS[0]
 
 
-def group_texts(a: Tokens, b: Tokens, cut_a: np.ndarray, cut_b: np.ndarray) -> list[bytes]:
+def group_texts(a: Tokens, b: Tokens, cut_a: np.ndarray, cut_b: np.ndarray) -> Iterator[bytes]:
     """``a1,a2|b1;a3|b2,b3`` for every text."""
+    both = a.bounds + b.bounds
+    low = 0
+    while low < len(both) - 1:
+        high = max(low + 1, int(np.searchsorted(both, both[low] + _SPELLED, side="right")) - 1)
+        own_a, own_b = slice(a.bounds[low], a.bounds[high]), slice(b.bounds[low], b.bounds[high])
+        yield from _group_texts(a.ids[own_a], b.ids[own_b], cut_a[own_a], cut_b[own_b], both[low : high + 1] - both[low])
+        low = high
+
+
+def _group_texts(ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, both: np.ndarray) -> Iterator[bytes]:
     # In a group A tokens come first: before an A token stand all B tokens of earlier groups, before a B token all A tokens up to its group.
     group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
     b_until, a_until = np.append(0, np.flatnonzero(cut_b) + 1), np.append(np.flatnonzero(cut_a) + 1, 0)
-    place = np.concatenate([np.arange(len(a.ids)) + b_until[group_a], np.arange(len(b.ids)) + a_until[group_b]])
-    order = np.empty(len(place), dtype=np.int64)
-    order[place] = np.arange(len(place))
-    ids = np.concatenate([a.ids, b.ids])[order]
+    place = np.concatenate([np.arange(len(ids_a)) + b_until[group_a], np.arange(len(ids_b)) + a_until[group_b]])
+    ids, ends_group = np.empty(len(place), dtype=np.int64), np.empty(len(place), dtype=np.uint8)
+    ids[place] = np.concatenate([ids_a, ids_b])
+    ends_group[place] = np.concatenate([cut_a * ord("|"), cut_b * ord(";")])
     spelling = _spelling(int(ids.max(initial=0)) + 1)
     lengths = spelling.lengths[ids]
     held = spelling.bytes[expand(spelling.starts[ids], lengths)]
     after = np.cumsum(lengths)
-    closes = np.concatenate([cut_a, cut_b])[order]
-    of_a = order < len(a.ids)
-    held[after[closes & of_a] - 1] = ord("|")
-    held[after[closes & ~of_a] - 1] = ord(";")
-    bounds = np.append(0, after)[a.bounds + b.bounds]
-    whole = held.tobytes()
-    return [whole[s : e - 1] if e > s else b"" for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    closes = np.flatnonzero(ends_group)
+    held[after[closes] - 1] = ends_group[closes]
+    bounds, whole = np.append(0, after)[both].tolist(), held.tobytes()
+    for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+        yield whole[start : end - 1] if end > start else b""
 
 
-def _equal_forms(ids: np.ndarray, bounds: np.ndarray, vocab: Vocabulary | Pieces, forms: pa.Array) -> np.ndarray:
+def _equal_forms(ids: np.ndarray, bounds: np.ndarray, vocab: Merges, forms: pa.Array) -> np.ndarray:
     """Which forms the bytes of their tokens equal."""
     offsets, data = buffer_of(forms)
     lengths = vocab.ends[ids] - vocab.starts[ids]
@@ -162,32 +190,76 @@ def _equal_forms(ids: np.ndarray, bounds: np.ndarray, vocab: Vocabulary | Pieces
     return equal
 
 
-_BYTE_VOCABULARY: list[ByteVocabulary] = []
+class Encoder:
+    """One tokenizer in a task: words it has met lately are not encoded again.
+
+    It remembers up to ``REMEMBERED`` bytes of distinct words with their ids, and forgets all of them beyond that.
+    """
+
+    REMEMBERED = 4_000_000
+
+    def __init__(self, vocab: Merges, starts_of, encode):
+        self.vocab, self.starts_of, self.encode = vocab, starts_of, encode
+        self.token_lengths = vocab.ends - vocab.starts
+        self._forget()
+
+    def _forget(self) -> None:
+        self.forms = pa.array([], type=pa.large_binary())
+        self.ids, self.first = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        self.count, self.equal = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+
+    def _numbers(self, forms: pa.Array) -> np.ndarray:
+        """The place of every form among those known, new ones encoded first."""
+        if self.forms.nbytes + forms.nbytes > self.REMEMBERED:
+            self._forget()
+        known = pc.index_in(forms, value_set=self.forms)
+        new = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
+        place = known.fill_null(0).to_numpy().astype(np.int64)
+        if len(new):
+            added = forms.take(pa.array(new))
+            ids, bounds = self.encode(self.vocab, added)
+            place[new] = len(self.forms) + np.arange(len(new))
+            self.first = np.append(self.first, len(self.ids) + bounds[:-1])
+            self.count = np.append(self.count, np.diff(bounds))
+            self.equal = np.append(self.equal, _equal_forms(ids, bounds, self.vocab, added))
+            self.ids = np.append(self.ids, ids.astype(np.int32))
+            self.forms = pa.concat_arrays([self.forms, added])
+        return place
+
+    def __call__(self, offsets: np.ndarray, data: np.ndarray, alive: np.ndarray):
+        """Token rows of the texts among ``alive``, as a function; texts whose tokens spell something else leave ``alive`` before."""
+        starts = self.starts_of(offsets, data)
+        nth, forms = distinct_pieces(starts, data)
+        form = self._numbers(forms.cast(pa.large_binary()))[nth]
+        of_text = np.searchsorted(starts, offsets)
+        wrong = np.append(0, np.cumsum(~self.equal[form]))
+        alive &= np.diff(wrong[of_text]) == 0
+        ids, first, count = self.ids, self.first[form], self.count[form]
+
+        def gathered() -> Tokens:
+            kept = np.repeat(alive, np.diff(of_text))
+            flat = ids[expand(first[kept], count[kept])]
+            ends = np.append(0, np.cumsum(count[kept]))
+            stretches = np.append(0, np.cumsum(np.where(alive, np.diff(of_text), 0)))
+            return Tokens(flat, self.token_lengths[flat], ends[stretches])
 
+        return gathered
 
-def _byte_vocabulary(path: str) -> ByteVocabulary:
-    if not _BYTE_VOCABULARY or _BYTE_VOCABULARY[0].path != path:
-        _BYTE_VOCABULARY[:] = [ByteVocabulary(path)]
-    return _BYTE_VOCABULARY[0]
+
+@lru_cache(maxsize=1)
+def encoders(byte_path: str, pattern: str, piece_path: str) -> tuple[Encoder, Encoder]:
+    return (
+        Encoder(ByteMerges(byte_path), stretch_starts, lambda vocab, forms: encode_stretches(vocab, pattern, forms)),
+        Encoder(pieces_of(piece_path), word_starts, encode_words),
+    )
 
 
 def both_tokens(byte_path: str, pattern: str, piece_path: str, offsets: np.ndarray, data: np.ndarray) -> tuple[Tokens, Tokens]:
     """Token rows of texts; none where the bytes of either row are not a space and the text."""
     offsets, data = spaced_buffer(offsets, data)
     alive = np.diff(offsets) > 0
-    found = []
-    for vocab, starts, encode in (
-        (_byte_vocabulary(byte_path), stretch_starts(offsets, data), lambda v, forms: encode_stretches(v, pattern, forms)),
-        (pieces_of(piece_path), word_starts(offsets, data), encode_words),
-    ):
-        nth, forms = distinct_pieces(starts, data)
-        ids, bounds = encode(vocab, forms)
-        of_text = np.searchsorted(starts, offsets)
-        wrong = np.append(0, np.cumsum(~_equal_forms(ids, bounds, vocab, forms)[nth]))
-        alive &= np.diff(wrong[of_text]) == 0
-        found.append((ids.astype(np.int64), bounds, vocab.ends - vocab.starts, nth, of_text))
-    first, second = (Tokens.gathered(*parts, alive) for parts in found)
-    return first, second
+    first, second = (encoder(offsets, data, alive) for encoder in encoders(byte_path, pattern, piece_path))
+    return first(), second()
 
 
 _SCHEMA = pa.schema(
@@ -206,7 +278,18 @@ _STORED = (
 )
 
 
+def _number_type(pairs: int) -> str:
+    """Numbers into a list of pairs, little-endian, as short as the list allows."""
+    return "<u2" if pairs <= 1 << 16 else "<u4"
+
+
+def _listed(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], type=pa.int32()), values)
+
+
 def _align(byte_path: str, pattern: str, piece_path: str):
+    none = pa.array([], type=pa.int64())
+
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
         for n, (rows, offsets, data) in enumerate(text_slices(batches, _SLICE)):
@@ -215,20 +298,22 @@ def _align(byte_path: str, pattern: str, piece_path: str):
             links = np.diff(np.searchsorted(links_a, a.bounds))
             groups = np.diff(np.append(0, np.cumsum(cut_a))[a.bounds])
             digests = [hashlib.sha256(t).hexdigest() if t else "" for t in group_texts(a, b, cut_a, cut_b)]
-            pairs, number, times = np.unique((a.ids[links_a] << 32) | b.ids[links_b], return_inverse=True, return_counts=True)
+            codes = (a.ids[links_a].astype(np.int64) << 32) | b.ids[links_b]
+            pairs, number, times = np.unique(codes, return_inverse=True, return_counts=True)
+            number = number.astype(_number_type(len(pairs)))
             docs = pa.StructArray.from_arrays(
                 [rows.column("doc_id"), pa.array(np.diff(a.bounds)), pa.array(np.diff(b.bounds)), pa.array(groups), pa.array(links),
                  pa.array(digests, type=pa.string())],
                 fields=list(_SCHEMA.field("docs").type.value_type),
             )
-            whole = [
-                pa.array([task | n]),
-                pa.ListArray.from_arrays(pa.array([0, len(docs)], type=pa.int32()), docs),
-                pa.array([number.astype("<u4").tobytes()], type=pa.binary()),
-                *[pa.ListArray.from_arrays(pa.array([0, len(x)], type=pa.int32()), pa.array(x)) for x in (pairs, times)],
-            ]
-            del a, b, links_a, links_b, cut_a, cut_b, number
-            yield pa.RecordBatch.from_arrays(whole, schema=_SCHEMA)
+            del a, b, links_a, links_b, cut_a, cut_b, codes
+            ends, first, dictionary = np.append(0, np.cumsum(links)), 0, (pa.array(pairs), pa.array(times))
+            while first < len(docs):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + _LINKS, side="right")) - 1)
+                held = number[ends[first] : ends[last]].tobytes()
+                whole = [pa.array([task | n]), _listed(docs[first:last]), pa.array([held], type=pa.binary()), *map(_listed, dictionary)]
+                yield pa.RecordBatch.from_arrays(whole, schema=_SCHEMA)
+                first, dictionary = last, (none, none)
 
     return align
 
@@ -238,9 +323,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
-            number = np.frombuffer(row.column("links")[0].as_buffer(), dtype="<u4")
             counted = row.column("counted").flatten()
             at = counted.field("at").to_numpy()
+            number = np.frombuffer(row.column("links")[0].as_buffer(), dtype=_number_type(len(at)))
             count, best = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
             count[at] = counted.field("n").to_numpy()
             best[at] = counted.field("best").to_numpy(zero_copy_only=False)
@@ -254,9 +339,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def aligned_slices(docs: DataFrame, byte_path: str, pattern: str, piece_path: str) -> DataFrame:
-    """One row per slice of neighbouring rows, stored: its documents, their links as numbers into ``pairs``, and how often each pair occurs.
+    """Slices of neighbouring rows, stored: documents, their links as numbers into ``pairs``, and how often each pair occurs in the slice.
 
-    A pair is the A id times 2**32 plus the B id.
+    A pair is the A id times 2**32 plus the B id. A slice's documents lie in rows of about ``_LINKS`` links, its pairs in the first of them.
     """
     mapped = documents(docs).mapInArrow(_align(byte_path, pattern, piece_path), _STORED)
     return settle(mapped, "aligned")

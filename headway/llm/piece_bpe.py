@@ -34,8 +34,54 @@ _SLICE = 4_000_000
 _ASSEMBLE = 2_000_000
 
 
-class Pieces:
-    """The vocabulary of a model file, with pairs of symbols looked up by hashing.
+class Merges:
+    """Which token two symbols make, looked up by hashing, how tokens rank, and the bytes they stand for.
+
+    ``rank`` is by token, the last entry for "no token", -1; ``shared`` tells ranks that several tokens have.
+    """
+
+    def __init__(self, pairs: list[tuple[int, int, int]], rank: np.ndarray, surfaces: list[bytes]):
+        lengths = np.array(list(map(len, surfaces)), dtype=np.int64)
+        self.ends = np.cumsum(lengths)
+        self.starts = self.ends - lengths
+        self.bytes = np.frombuffer(b"".join(surfaces), dtype=np.uint8)
+        self.rank = np.append(rank, NONE).astype(np.int32)
+        self.shared = np.append(np.bincount(rank[rank < NONE]) > 1, False)
+        self._fill(np.array([a << 32 | b for a, b, _ in pairs], dtype=np.int64), np.array([i for *_, i in pairs], dtype=np.int32))
+
+    def _fill(self, codes: np.ndarray, ids: np.ndarray) -> None:
+        """Open addressing: all codes try their slot, those that find it taken go on to the next."""
+        self._bits = max(8, int(4 * len(codes)).bit_length())
+        self._codes, self._ids = np.full(1 << self._bits, -1, dtype=np.int64), np.full(1 << self._bits, -1, dtype=np.int32)
+        slot = self._slot(codes)
+        while len(codes):
+            free = self._codes[slot] < 0
+            self._codes[slot[free]] = codes[free]
+            placed = self._codes[slot] == codes
+            self._ids[slot[placed]] = ids[placed]
+            codes, ids, slot = codes[~placed], ids[~placed], (slot[~placed] + 1) & ((1 << self._bits) - 1)
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).view(np.int64)
+
+    def made(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The tokens that pairs of symbols make, -1 for none."""
+        codes = (first << 32) | second
+        slot = self._slot(codes)
+        found = self._codes[slot]
+        out = np.where(found == codes, self._ids[slot], np.int32(-1))
+        open_ = np.flatnonzero((found != codes) & (found >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self._bits) - 1)
+            found = self._codes[slot[open_]]
+            same = found == codes[open_]
+            out[open_[same]] = self._ids[slot[open_[same]]]
+            open_ = open_[~same & (found >= 0)]
+        return out
+
+
+class Pieces(Merges):
+    """The vocabulary of a model file.
 
     A symbol is a piece's id, or ``size`` plus the code point of a character that is no piece. Ranks order scores from the best;
     pieces of equal score share one.
@@ -59,28 +105,19 @@ class Pieces:
         #: Characters that are pieces, ascending, and their ids.
         single = sorted((ord(piece), i) for piece, i in id_of.items() if len(piece) == 1)
         self.chars, self.char_ids = (np.array(column, dtype=np.int64) for column in zip(*single, strict=True))
-        scores = {i: -model.pieces[i].score for i in id_of.values()}
-        levels = {score: rank for rank, score in enumerate(sorted(set(scores.values())))}
         self.of_byte = np.array([self._byte_id(model, b) for b in range(256)], dtype=np.int32)
-        surfaces = [self._surface(p, model.trainer_spec.unk_surface) for p in model.pieces]
-        lengths = np.array(list(map(len, surfaces)), dtype=np.int64)
-        self.ends = np.cumsum(lengths)
-        self.starts = self.ends - lengths
-        self.bytes = np.frombuffer(b"".join(surfaces), dtype=np.uint8)
         self.opens_with_space = np.array([p.type == NORMAL and p.piece.startswith(SPACE) for p in model.pieces])
+        levels = {score: rank for rank, score in enumerate(sorted({-model.pieces[i].score for i in id_of.values()}))}
+        rank = np.full(self.size, NONE, dtype=np.int64)
+        for i in id_of.values():
+            rank[i] = levels[-model.pieces[i].score]
         pairs = [
             (self._symbol(id_of, piece[:cut]), self._symbol(id_of, piece[cut:]), i)
             for piece, i in id_of.items()
             for cut in range(1, len(piece))
         ]
-        pairs = [(first << 32 | second, i) for first, second, i in pairs if first >= 0 and second >= 0]
-        self._fill(np.array([c for c, _ in pairs], dtype=np.int64), np.array([i for _, i in pairs], dtype=np.int32))
-        rank = np.full(self.size, NONE, dtype=np.int32)
-        for i, score in scores.items():
-            rank[i] = levels[score]
-        self.rank = np.append(rank, np.int32(NONE))  # the last one is for "no piece", -1
-        times = np.bincount(rank[rank < NONE], minlength=len(levels))
-        self.shared = np.append(times > 1, False)
+        surfaces = [self._surface(p, model.trainer_spec.unk_surface) for p in model.pieces]
+        super().__init__([p for p in pairs if p[0] >= 0 and p[1] >= 0], rank, surfaces)
 
     def _symbol(self, id_of: dict[str, int], part: str) -> int:
         return id_of.get(part, self.size + ord(part) if len(part) == 1 else -1)
@@ -95,36 +132,6 @@ class Pieces:
             return piece.piece.replace(SPACE, " ").encode()
         return {BYTE: lambda: bytes([int(piece.piece[3:5], 16)]), UNKNOWN: unknown.encode}.get(piece.type, bytes)()
 
-    def _fill(self, codes: np.ndarray, ids: np.ndarray) -> None:
-        """Open addressing: all codes try their slot, those that find it taken go on to the next."""
-        self._bits = max(8, int(4 * len(codes)).bit_length())
-        self._codes, self._ids = np.full(1 << self._bits, -1, dtype=np.int64), np.full(1 << self._bits, -1, dtype=np.int32)
-        slot = self._slot(codes)
-        while len(codes):
-            free = self._codes[slot] < 0
-            self._codes[slot[free]] = codes[free]
-            placed = self._codes[slot] == codes
-            self._ids[slot[placed]] = ids[placed]
-            codes, ids, slot = codes[~placed], ids[~placed], (slot[~placed] + 1) & ((1 << self._bits) - 1)
-
-    def _slot(self, codes: np.ndarray) -> np.ndarray:
-        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).view(np.int64)
-
-    def made(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The pieces that pairs of symbols make, -1 for none."""
-        codes = (first << 32) | second
-        slot = self._slot(codes)
-        found = self._codes[slot]
-        out = np.where(found == codes, self._ids[slot], np.int32(-1))
-        open_ = np.flatnonzero((found != codes) & (found >= 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & ((1 << self._bits) - 1)
-            found = self._codes[slot[open_]]
-            same = found == codes[open_]
-            out[open_[same]] = self._ids[slot[open_[same]]]
-            open_ = open_[~same & (found >= 0)]
-        return out
-
     def symbols(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
         return np.where(self.chars[at] == points, self.char_ids[at], self.size + points)
@@ -146,15 +153,15 @@ def _alternate(places: np.ndarray) -> np.ndarray:
     return nth % 2 == 0
 
 
-def merge_rounds(pieces: Pieces, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def merge_rounds(merges: Merges, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, lengths) of words after every merge; ``lengths`` are at least 1."""
     done_words, done_symbols, done_lengths = [], [], []
     word = np.arange(len(lengths))
     begins = _begins(lengths)
 
     def ranked(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        made = pieces.made(left, right)
-        return made, pieces.rank[made]
+        made = merges.made(left, right)
+        return made, merges.rank[made]
 
     made, rank = np.full(len(symbols), -1, dtype=np.int32), np.full(len(symbols), NONE, dtype=np.int32)
     inner = np.ones(len(symbols), dtype=bool)
@@ -179,7 +186,7 @@ def merge_rounds(pieces: Pieces, symbols: np.ndarray, lengths: np.ndarray) -> tu
         owner = np.searchsorted(begins, places, side="right") - 1
         leads = np.diff(owner, prepend=-1) != 0
         # Words that merge at one place only in this round.
-        single = pieces.shared[best]
+        single = merges.shared[best]
         several = np.flatnonzero(~leads | ~np.append(leads[1:], True))
         if len(several):
             p, own = places[several], owner[several]
