@@ -105,7 +105,7 @@ def test_lockstep_merging_on_any_text(library, byte_library):
     a, b = both_tokens(BYTES, public_tokenizers.PATTERN, PIECES, *buffer_of(pa.array(texts)))
     for run in (1, 3, 256):
         links_a, links_b, cut_a, cut_b = links_of(a, b, run)
-        spelled = group_texts(a, b, cut_a, cut_b)
+        spelled = list(group_texts(a, b, cut_a, cut_b))
         bounds = np.searchsorted(links_a, a.bounds)
         for i, text in enumerate(texts):
             ids_a, ids_b, links, groups = _plain(text, library, byte_library)
