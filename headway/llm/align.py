@@ -13,7 +13,6 @@ list of distinct id pairs; these lists, not links, are added up over all slices
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from headway.llm.byte_bpe import distinct_pieces, stretch_starts
-from headway.llm.piece_bpe import NONE, Merges, encode_words, merge_rounds, pieces_of, spaced_buffer, word_starts
+from headway.llm.merges import ByteMerges, Merges
+from headway.llm.piece_bpe import encode_words, pieces_of, spaced_buffer, word_starts
 from headway.llm.texts import buffer_of, documents, expand, settle, text_slices
 
 #: A tokens that one entry of the state vector covers at most.
@@ -37,28 +37,6 @@ _SPELLED = 200_000
 _LINKS = 100_000
 
 
-class ByteMerges(Merges):
-    """The byte-level vocabulary of a ``tokenizers`` file: tokens are spelled with a printable character for each byte."""
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        ids, of_sign = model["vocab"], printable_bytes()
-        surfaces = [b""] * (max(ids.values()) + 1)
-        for token, i in ids.items():
-            surfaces[i] = bytes(of_sign.get(c, 0) for c in token)
-        self.of_byte = np.empty(256, dtype=np.int64)
-        for sign, byte in of_sign.items():
-            self.of_byte[byte] = ids[sign]
-        rank, pairs = np.full(len(surfaces), NONE, dtype=np.int64), []
-        for nth, merge in enumerate(model["merges"]):
-            left, right = merge.split(" ") if isinstance(merge, str) else merge
-            made = ids[left + right]
-            rank[made] = min(rank[made], nth)
-            pairs.append((ids[left], ids[right], made))
-        super().__init__(pairs, rank, surfaces)
-
-
 def encode_stretches(merges: ByteMerges, pattern: str, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids, bounds) of distinct stretches of text, every match of the pattern merged by itself."""
     find = regex.compile(pattern).findall
@@ -66,20 +44,13 @@ def encode_stretches(merges: ByteMerges, pattern: str, stretches: pa.Array) -> t
     coded = pa.array([m for own in matches for m in own], type=pa.large_string()).dictionary_encode()
     nth = coded.indices.to_numpy()
     offsets, data = buffer_of(coded.dictionary)
-    ids, lengths = merge_rounds(merges, merges.of_byte[data], np.diff(offsets))
+    ids, lengths = merges.encode(offsets, data)
     first, count = np.cumsum(lengths) - lengths, lengths[nth]
     ends = np.append(0, np.cumsum(count))
     of_stretch = np.append(0, np.cumsum(np.fromiter(map(len, matches), dtype=np.int64, count=len(matches))))
     return ids[expand(first[nth], count)], ends[of_stretch]
 
 
-def printable_bytes() -> dict[str, int]:
-    """Which byte a character of a byte-level vocabulary stands for: printable Latin-1 bytes themselves, the others U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Tokens:
     """Token rows of several texts, one after the other: ids, bytes where each ends, and every text's first token."""
 
