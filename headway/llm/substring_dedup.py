@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from headway.llm.superkmers import owner_of, runs_of
-from headway.llm.texts import SpanHash, byte_hash, expand, keyed, rows_named, settle, signed, spaced, text_slices, words_of
+from headway.llm.texts import SpanHash, expand, keyed, rows_named, settle, signed, spaced, text_slices, word_hash, words_of
 
 WINDOW = 50
 #: Words of a minimizer; longer ones are rarer by chance, shorter ones make longer paths.
@@ -37,8 +37,8 @@ _PATH = ["hull", "hull2"]
 
 def _tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[SpanHash, SpanHash, np.ndarray]:
     starts, ends, bounds = words_of(offsets, data)
-    words = byte_hash(data, 21)(starts, ends)
-    other = byte_hash(data, 22)(starts, ends)
+    words = word_hash(data, starts, ends, 21)
+    other = word_hash(data, starts, ends, 22)
     return SpanHash(words, 23), SpanHash(other, 24), bounds
 
 

@@ -12,6 +12,7 @@ how much text a batch holds; only a single text longer than that is taken as a w
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
@@ -160,6 +161,34 @@ def words_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def packs(group: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of whole groups (neighbouring equal values), of ``most`` rows together at most, or one larger group."""
+    bounds = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+    first = 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1)
+        yield int(bounds[first]), int(bounds[last])
+        first = last
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by a column again, none of which ends inside a run of equal values."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        group = batch.column(column)
+        cut = int(np.flatnonzero(group.to_numpy() != group[-1].as_py())[-1]) + 1 if group[0] != group[-1] else 0
+        if cut or (rest and rest[-1].column(column)[0] != group[0]):
+            held = [*rest, batch.slice(0, cut)] if cut else rest
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            rest = [batch.slice(cut)] if cut else [batch]
+        else:
+            rest.append(batch)
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+
+
 # ---------------------------------------------------------------- hashes of spans
 
 
@@ -221,6 +250,24 @@ def byte_hash(data: np.ndarray, seed: int) -> SpanHash:
     return SpanHash(_byte_values(seed)[data], seed)
 
 
+#: Words longer than this many bytes are hashed by a cryptographic function.
+LONG_WORD = 32
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of words.
+
+    Sums modulo 2**64 can be equal for long strings of a regular build (such as the Thue-Morse sequence and its complement), whatever the
+    base, so long words get a keyed digest instead.
+    """
+    hashes = byte_hash(data, seed)(starts, ends)
+    view, key = memoryview(np.ascontiguousarray(data)), seed.to_bytes(8, "little")
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        digest = hashlib.blake2b(view[starts[i] : ends[i]], digest_size=8, key=key).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
