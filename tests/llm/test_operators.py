@@ -49,7 +49,6 @@ def test_packing(awkward, empty, rows_in):
     pieces = settle(tokenized(awkward, WORD_BPE, CAPACITY), "test-pieces")
     placed = pack(pieces).collect()
     tokenizer = Tokenizer.from_file(WORD_BPE)
-    tokenizer.encode_special_tokens = True
     expected = []
     for doc_id, text in rows_in:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -71,6 +70,41 @@ def test_packing(awkward, empty, rows_in):
     assert pack(settle(tokenized(empty, WORD_BPE, CAPACITY), "test-empty")).count() == 0
 
 
+def _regular_words(n: int = 2_048) -> list[str]:
+    """The Thue-Morse word of two letters and its complement: sums modulo 2**64 can't tell them apart."""
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return ["".join(pair[b] for b in bits) for pair in ("ab", "ba")]
+
+
+def test_packed_ids_of_added_tokens_and_regular_words(spark):
+    one, two = _regular_words()
+    texts = ["hello <|endoftext|> world", "<|ENDOFTEXT|> x<|startoftext|>y", one, two, f"{one} {two}", "été straße ÉTÉ", "it's 12 a.b, c.. 日本"]
+    rng = np.random.default_rng(2)
+    parts = ["a", "B", " ", ".", ",", "<|endoftext|>", "é", "É", "1", "\n", "zz", "日", "'s", "e\u0301", "ﬁ"]
+    texts += ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    expected = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    found: dict[int, list[int]] = {}
+    for r in tokenized(docs, WORD_BPE, CAPACITY).orderBy("doc_id", "piece").collect():
+        found.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, dtype="<u4").tolist())
+    assert found == expected
+
+
+def test_regular_words_are_told_apart(spark):
+    """In near duplicates, repeated passages and repeated byte strings."""
+    one, two = _regular_words()
+    prose = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, one), (2, two), (3, f"{two} {prose}"), (4, f"{one} {prose}"), (5, f"{one} {prose}"), (6, f"{one} x y z"), (7, f"{two} x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near_duplicate_classes(docs, 4, 85), "doc_id", "component_id") == Counter({(r[0], r[-1]): 1 for r in brute.jaccard_components(rows, 4, 85)})
+    assert got(removal_digests(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.substring_removal(rows, 50))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got(byte_removal_digests(docs), *columns) == Counter(brute.byte_removal(rows, 400))
+
+
 def test_sharding(awkward, empty, rows_in):
     placed = shard(awkward, 4).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in placed) == Counter(

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from checks.compare import differences, duck
 from headway.llm import queries, spelling
 from headway.llm.align import Tokens, align_tokenizers, both_tokens, group_texts, links_of, pair_counts, aligned_slices
+from headway.llm.merges import printable_bytes
 from headway.llm.piece_bpe import decode_ids, decode_pieces, encode_pieces, encode_words, pieces_of, spaced_buffer, word_starts
 from headway.llm.byte_bpe import distinct_pieces
 from headway.llm.texts import buffer_of, settle
@@ -80,8 +81,6 @@ def test_decoding_of_any_ids(rows):
 
 def _plain(text: str | None, library, byte_library):
     """(A ids, B ids, links, groups) by the libraries and a double loop."""
-    from headway.llm.align import printable_bytes
-
     if not text:
         return [], [], [], []
     encoded, sign = byte_library.encode(" " + text, add_special_tokens=False), printable_bytes()
