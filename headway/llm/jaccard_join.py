@@ -16,9 +16,9 @@ the number D of n-grams in which two linked sets can differ (see :func:`most_dif
 Groups of sets that share a sketch may be huge. Sets equal in all n-grams count as one from the start. A scan task sends one set of each
 group it meets, the others are known to belong to it. Candidates are then taken in two rounds. First each set is compared with
 ``PARTNERS`` of those that stand next to it in its groups, in several random orders; that makes one component of
-nearly every group of near copies. Then all members of a group that are in different components are compared. Pairs
-inside a component need no comparison, so the pairs of a group of near copies are never listed, and no link
-between components is lost.
+nearly every group of near copies. Then all members of a group that are in different components are compared by size and whole
+sketch, inside tasks that hold tiles of a group; only pairs that may link become rows. Pairs inside a component need
+no comparison, so the pairs of a group of near copies are never listed, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -34,15 +34,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from headway.llm.components import components
 from headway.llm.texts import (
     SpanHash,
-    byte_hash,
     expand,
     keyed,
     lower_ascii,
     mixed,
+    packs,
     rows_named,
     settle,
     signed,
     text_slices,
+    whole_groups,
+    word_hash,
     words_of,
 )
 
@@ -56,6 +58,11 @@ _BITS = ["bits0", "bits1", "bits2", "bits3"]
 PARTNERS, ORDERS = 8, 3
 #: Members of a group that the first round keeps together.
 _GATHERED = 2_000
+#: Members of a group that the second round compares in one task, and how many of them with all others at once.
+TILE = 2_000
+_STRIP = 256
+#: Pairs whose common keys are looked up together.
+_PAIRS = 20_000
 
 
 def most_differences(smaller: int, percent: int) -> int:
@@ -87,7 +94,7 @@ def shingle_sets(offsets: np.ndarray, data: np.ndarray, n: int) -> tuple[np.ndar
     """(hashes, bounds): the distinct n-grams of each text, sorted; with fewer words, all of them as one."""
     data = lower_ascii(data)
     starts, ends, bounds = words_of(offsets, data)
-    words = SpanHash(byte_hash(data, 51)(starts, ends), 52)
+    words = SpanHash(word_hash(data, starts, ends, 51), 52)
     count = np.diff(bounds)
     grams = np.where(count >= n, count - n + 1, np.minimum(count, 1))
     first = expand(bounds[:-1], grams)
@@ -254,6 +261,63 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(often.astype(np.int64))], names=["a", "b", "often"])
 
 
+def _cell_pairs(percent: int):
+    """Pairs of a cell's members in different components whose sizes and whole sketches allow a link.
+
+    A pair is given where its group has the least key of those that both members have, so it is given once.
+    """
+
+    def first_met(rows: pa.RecordBatch, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of rows have no lesser key in common than that of their cell."""
+        lists = rows.column("keys")
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        keys, number = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        begins, own = np.cumsum(size) - size, np.searchsorted(keys, rows.column("key").to_numpy())
+        held = np.repeat(np.arange(len(size)), size) * len(keys) + number  # ascending: a row's keys are sorted
+        first = np.ones(len(a), dtype=bool)
+        for low in range(0, len(a), _PAIRS):
+            some = slice(low, low + _PAIRS)
+            pair = np.repeat(np.arange(len(a[some])), size[a[some]])
+            asked = number[expand(begins[a[some]], size[a[some]])]
+            code = b[some][pair] * len(keys) + asked
+            common = held[np.minimum(np.searchsorted(held, code), len(held) - 1)] == code
+            first[low + pair[common & (asked < own[a[some]][pair])]] = False
+        return first
+
+    def near(rows: pa.RecordBatch, low: int, high: int) -> np.ndarray:
+        group, component, size, tile = (rows.column(c).to_numpy()[low:high] for c in ("cell", "component", "n_shingles", "tile"))
+        bits = np.stack([rows.column(b).to_numpy()[low:high] for b in _BITS], axis=1).view(np.uint64)
+        crossing = rows.column("crossing").to_numpy(zero_copy_only=False)[low:high]
+        own = np.arange(high - low)
+        if group[0] == group[-1]:  # every pair sought has a member outside the most frequent component
+            kinds, often = np.unique(component, return_counts=True)
+            own = np.flatnonzero(component != kinds[np.argmax(often)])
+        found = []
+        for strip in range(0, len(own), _STRIP):
+            some = own[strip : strip + _STRIP]
+            fits = (component[some][:, None] != component[None, :]) & (group[some][:, None] == group[None, :])
+            fits &= ~crossing[some][:, None] | (tile[some][:, None] != tile[None, :])
+            small, large = np.minimum(size[some][:, None], size[None, :]), np.maximum(size[some][:, None], size[None, :])
+            fits &= 100 * small >= percent * large
+            a, b = np.nonzero(fits)
+            both = size[some[a]] + size[b]
+            apart = np.bitwise_count(bits[some[a]] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            kept = (100 + percent) * apart <= (100 - percent) * both
+            found.append(np.stack([some[a[kept]], b[kept]], axis=1) + low)
+        return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "cell"):
+            group, sig = rows.column("cell").to_numpy(), rows.column("sig").to_numpy()
+            met = np.concatenate([near(rows, low, high) for low, high in packs(group, _STRIP)])
+            met = np.unique(np.sort(met, axis=1), axis=0)
+            met = np.sort(sig[met[first_met(rows, met[:, 0], met[:, 1])]], axis=1)
+            a, b = (pa.array(np.ascontiguousarray(met[:, i])) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    return pairs
+
+
 def _sets(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, data in text_slices(batches):
@@ -332,6 +396,28 @@ class _Join:
         allowed = (100 - self.percent) * (small + large)
         return pairs.where((100 * small >= self.percent * large) & ((100 + self.percent) * apart <= allowed)).select("a", "b")
 
+    def cells(self, left: DataFrame) -> DataFrame:
+        """Members of mixed groups (``key, sig, component``) with size, sketch and keys, dealt to cells where they are compared.
+
+        A group of up to ``TILE`` members is one cell. A larger one is cut into tiles by hash, and every two tiles are a
+        cell, so no task holds a group, and comparisons are made in the task and never become rows.
+        """
+        tiles = left.groupBy(F.col("key").alias("_key")).agg((1 + F.floor(F.count(F.lit(1)) / TILE)).alias("_tiles"))
+        described = self.sigs.select(F.col("sig").alias("_sig"), "n_shingles", *_BITS)
+        rows = left.join(settle(tiles, "tiles").hint("merge"), F.col("key") == F.col("_key"))
+        # A set has a bounded number of sketches, so its list of keys is short.
+        lists = left.groupBy(F.col("sig").alias("_sig")).agg(F.sort_array(F.collect_list("key")).alias("keys"))
+        described = settle(described.join(lists.hint("merge"), "_sig"), "mixed-sets")
+        rows = rows.join(described.hint("merge"), F.col("sig") == F.col("_sig"))
+        rows = rows.withColumn("tile", F.pmod(F.xxhash64("sig", "key"), "_tiles"))
+        rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tiles") - 1)))
+        pair = F.xxhash64("key", F.least("tile", "_other"), F.greatest("tile", "_other"))
+        rows = rows.select(
+            pair.alias("cell"), "key", "keys", "sig", "component", "n_shingles", *_BITS, "tile", (F.col("tile") != F.col("_other")).alias("crossing")
+        )
+        # A cell of two tiles compares across; what they have of themselves is a cell of its own.
+        return rows.repartition("cell").sortWithinPartitions("cell")
+
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of stored candidates that are links."""
         one = self.sets.select(F.col("sig").alias("_a"), F.col("hashes").alias("one"))
@@ -357,17 +443,16 @@ class _Join:
         found = settle(components(links), "first-components").select(F.col("vertex").alias("_v"), "component")
         placed = members.join(found.hint("merge"), F.col("sig") == F.col("_v"), "left")
         placed = settle(placed.select("key", "sig", F.coalesce("component", "sig").alias("component")), "placed")
-        kinds = placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        mixed_keys = settle(kinds.where("_low < _high").select(F.col("key").alias("_key")), "mixed-keys")
+        prints = [F.bit_xor(F.xxhash64("sig", F.lit(seed))).alias(f"_print{seed}") for seed in (1, 2)]
+        kinds = placed.groupBy("key").agg(
+            F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"), *prints
+        )
+        # Sets that share much are together in many groups; of groups with the same members one is enough.
+        unlike = kinds.where("_low < _high").groupBy("_n", "_print1", "_print2").agg(F.min("key").alias("_key"))
+        mixed_keys = settle(unlike.select("_key"), "mixed-keys")
         left = settle(placed.join(mixed_keys.hint("merge"), F.col("key") == F.col("_key")).drop("_key"), "mixed-members")
-        # A member meets the other components of its groups, then their members: never those of its own.
-        other = left.select(F.col("key").alias("_key"), F.col("component").alias("_other")).distinct()
-        aimed = left.join(other.hint("merge"), (F.col("key") == F.col("_key")) & (F.col("component") < F.col("_other")))
-        aimed = settle(aimed.select("key", F.col("sig").alias("a"), "_other"), "aimed-members")
-        right = left.select(F.col("key").alias("_key"), F.col("sig").alias("b"), "component")
-        pairs = aimed.join(right.hint("merge"), (F.col("key") == F.col("_key")) & (F.col("_other") == F.col("component")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = self.verified(settle(self.near(settle(pairs, "cross-pairs")), "near-pairs"), "more-links")
+        crossed = settle(self.cells(left).mapInArrow(_cell_pairs(self.percent), "a long, b long").distinct(), "near-pairs")
+        more = self.verified(crossed, "more-links")
         # The components so far are stars, which stand for their links.
         stars = found.select(F.col("_v").alias("a"), F.col("component").alias("b"))
         return settle(components(stars.union(more)), "components")
