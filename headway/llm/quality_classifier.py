@@ -35,6 +35,8 @@ def _mask(*members: int) -> np.ndarray:
     return mask
 
 
+#: Rows whose squares and sums are made at a time while the machine learns.
+_BLOCK = 512
 _MASKS = np.stack(
     [
         _mask(*_SYMBOLS),
@@ -101,12 +103,38 @@ def _inputs(docs: DataFrame) -> list[Column]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of labelled rows, the hashed words as those that are not zero."""
+    names = ["quality", "places", "values", "stats"]
     for rows, offsets, data in text_slices(batches):
         for low, high, made in features(offsets, data, rows.column("n_chars").to_numpy()):
-            kept = [x.astype(np.float32).tobytes() for x in made]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("quality").slice(low, high - low), pa.array(kept, pa.binary())], names=["quality", "features"]
+            filled = [np.flatnonzero(x[:BUCKETS]) for x in made]
+            columns = (
+                [p.astype("<u2").tobytes() for p in filled],
+                [x[p].astype("<f4").tobytes() for x, p in zip(made, filled, strict=True)],
+                [x[BUCKETS:].astype("<f4").tobytes() for x in made],
             )
+            held = [pa.array(column, pa.binary()) for column in columns]
+            yield pa.RecordBatch.from_arrays([rows.column("quality").slice(low, high - low), *held], names=names)
+
+
+class SparseRows:
+    """Feature rows: hashed words by their places, statistics in full."""
+
+    def __init__(self, places: list[np.ndarray], values: list[np.ndarray], stats: np.ndarray):
+        none = np.zeros(0, dtype=np.float32)
+        self.bounds = np.append(0, np.cumsum([len(p) for p in places])).astype(np.int64)
+        self.places, self.values = np.concatenate([none.astype(np.uint16), *places]), np.concatenate([none, *values])
+        self.stats = stats.reshape(-1, _STATS)
+
+    def __len__(self) -> int:
+        return len(self.stats)
+
+    def full(self, stats: np.ndarray) -> np.ndarray:
+        """All rows with the given statistics: the one array of the sample's size."""
+        full = np.zeros((len(self), BUCKETS + _STATS), dtype=np.float32)
+        full[np.repeat(np.arange(len(self)), np.diff(self.bounds)), self.places] = self.values
+        full[:, BUCKETS:] = stats
+        return full
 
 
 @dataclass
@@ -119,9 +147,12 @@ class FactorisationMachine:
     centre: np.ndarray
     spread: np.ndarray
 
+    def scaled_stats(self, stats: np.ndarray) -> np.ndarray:
+        return np.clip((stats - self.centre) / self.spread, -4, 4) * 0.25
+
     def scaled(self, rows: np.ndarray) -> np.ndarray:
         rows = rows.copy()
-        rows[:, BUCKETS:] = np.clip((rows[:, BUCKETS:] - self.centre) / self.spread, -4, 4) * 0.25
+        rows[:, BUCKETS:] = self.scaled_stats(rows[:, BUCKETS:])
         return rows
 
     def logits(self, rows: np.ndarray) -> np.ndarray:
@@ -130,9 +161,9 @@ class FactorisationMachine:
         return self.bias + rows @ self.weights + 0.5 * (sums * sums - squares).sum(axis=1)
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, seed: int = 3) -> FactorisationMachine:
-    """Logistic loss with a small penalty, by Adam over all rows at once."""
-    stats = rows[:, BUCKETS:]
+def fit(rows: SparseRows, labels: np.ndarray, seed: int = 3) -> FactorisationMachine:
+    """Logistic loss with a small penalty, by Adam over all rows at once; what is derived of them is made for ``_BLOCK`` rows at a time."""
+    stats = rows.stats
     spread = np.maximum(1e-3, stats.std(axis=0)) if len(rows) else np.ones(_STATS)
     centre = stats.mean(axis=0) if len(rows) else np.zeros(_STATS)
     width = BUCKETS + _STATS
@@ -148,17 +179,19 @@ def fit(rows: np.ndarray, labels: np.ndarray, seed: int = 3) -> FactorisationMac
     if len(rows) == 0 or labels.min() == labels.max():
         machine.factors[:] = 0  # nothing to tell texts apart by
         return machine
-    x = machine.scaled(rows)
-    squared = x * x
+    held = rows.full(machine.scaled_stats(stats))
     state = [np.zeros_like(machine.weights), np.zeros_like(machine.weights), np.zeros_like(machine.factors), np.zeros_like(machine.factors), 0.0, 0.0]
     for step in range(1, STEPS + 1):
-        error = (1 / (1 + np.exp(-np.clip(machine.logits(x), -30, 30))) - labels).astype(np.float32) / len(x)
-        sums = x @ machine.factors
-        grads = (
-            x.T @ error + 1e-5 * machine.weights,
-            x.T @ (error[:, None] * sums) - machine.factors * (squared.T @ error)[:, None] + 1e-5 * machine.factors,
-            float(error.sum()),
-        )
+        grads = [1e-5 * machine.weights, 1e-5 * machine.factors, 0.0]
+        squares = machine.factors * machine.factors
+        for low in range(0, len(held), _BLOCK):
+            x = held[low : low + _BLOCK]
+            sums, squared = x @ machine.factors, x * x
+            logits = machine.bias + x @ machine.weights + 0.5 * (sums * sums - squared @ squares).sum(axis=1)
+            error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels[low : low + _BLOCK]).astype(np.float32) / len(held)
+            grads[0] += x.T @ error
+            grads[1] += x.T @ (error[:, None] * sums) - machine.factors * (squared.T @ error)[:, None]
+            grads[2] += float(error.sum())
         rate = 0.05 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         steps = []
         for k, grad in enumerate(grads):
@@ -182,11 +215,15 @@ def train(docs: DataFrame, labels: DataFrame, training: Column) -> Factorisation
     # A bounded list: at most SAMPLE rows.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
     rows = docs.select(*_inputs(docs)).join(F.broadcast(chosen), "doc_id").select("text", "n_chars", "quality")
-    found = rows.mapInArrow(_sampled, "quality double, features binary").toArrow()
-    made = [np.frombuffer(x.as_buffer(), dtype=np.float32) for x in found.column("features")]
-    matrix = np.stack(made) if made else np.zeros((0, BUCKETS + _STATS), dtype=np.float32)
-    order = np.lexsort((matrix[:, BUCKETS + 9], matrix[:, BUCKETS + 7])) if len(matrix) else []
-    return fit(matrix[order], found.column("quality").to_numpy()[order])
+    found = rows.mapInArrow(_sampled, "quality double, places binary, values binary, stats binary").toArrow()
+    stats = np.frombuffer(b"".join(found.column("stats").to_pylist()), dtype="<f4").reshape(-1, _STATS)
+    order = np.lexsort((stats[:, 9], stats[:, 7])).tolist()
+
+    def taken(name: str, kind: str) -> list[np.ndarray]:
+        column = found.column(name)
+        return [np.frombuffer(column[i].as_buffer(), dtype=kind) for i in order]
+
+    return fit(SparseRows(taken("places", "<u2"), taken("values", "<f4"), stats[order]), found.column("quality").to_numpy()[order])
 
 
 def _score(machine: FactorisationMachine):
