@@ -10,7 +10,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from headway.llm import suffix_dedup
+from headway.llm import jaccard_join, suffix_dedup
 from headway.llm.byte_bpe import decode_documents, encode_documents, vocabulary
 from headway.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from headway.llm.jaccard_join import drop_near_duplicates, near_duplicate_classes
@@ -159,6 +159,26 @@ def test_jaccard_join(awkward, rows_in, n, percent):
     assert got(found, "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard_components(rows_in, n, percent))
 
 
+@pytest.mark.parametrize("tile", [2, 5])
+def test_jaccard_join_over_tiles(spark, monkeypatch, tile):
+    """Groups cut into many tiles: near copies of one text around the threshold, some of them in long chains of links."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(60):
+        words = list(base) if i % 3 else [f"v{k}" for k in range(40)] + base[40:]
+        for at in rng.integers(0, 80, rng.integers(0, 4)):
+            words[at] = f"x{rng.integers(0, 5)}"
+        rows.append((int(i), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = Counter(brute.jaccard_components(rows, 4, 85))
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "PARTNERS", 1)
+    monkeypatch.setattr(jaccard_join, "ORDERS", 1)
+    assert got(near_duplicate_classes(docs, 4, 85), "doc_id", "n_shingles", "component_id") == expected
+    assert 1 < len({row[2] for row in expected}) < 60
+
+
 def test_near_copies_go(awkward, empty, rows_in):
     kept = drop_near_duplicates(awkward)
     assert kept.columns == awkward.columns

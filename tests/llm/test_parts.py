@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings, strategies as st
 
@@ -11,8 +12,9 @@ from headway.llm.byte_bpe import encode_matches, merge_alone, vocabulary
 from headway.llm.exact_dedup import golomb_decode, golomb_encode
 from headway.llm.jaccard_join import most_differences, range_sketches, shingle_sets
 from headway.llm.packing import plan_patterns
+from headway.llm.quality_classifier import BUCKETS, SparseRows, fit
 from headway.llm.suffixes import common_prefixes, joined_pieces, suffix_array
-from headway.llm.texts import words_of
+from headway.llm.texts import packs, whole_groups, words_of
 from headway.llm.trees import CapacityTree, best_fit_decreasing
 
 
@@ -125,3 +127,37 @@ def test_merges_match_the_library():
         expected = own.encode_ordinary(match)
         assert ids[bounds[i] : bounds[i + 1]].tolist() == expected
         assert merge_alone(vocab, match.encode()) == expected
+
+
+def test_all_pairs_of_features_in_linear_time():
+    rng = np.random.default_rng(1)
+    places = [np.sort(rng.choice(BUCKETS, 12, replace=False)).astype("<u2") for _ in range(40)]
+    values = [rng.random(12, dtype=np.float32) for _ in places]
+    stats = rng.random((40, 14), dtype=np.float32)
+    rows = SparseRows(places, values, stats)
+    labels = (stats[:, 2] > 0.5).astype(float)
+    machine = fit(rows, labels)
+    full = rows.full(machine.scaled_stats(stats)).astype(float)
+    for row, logit in zip(full, machine.logits(full), strict=True):
+        filled = np.flatnonzero(row)
+        pairs = sum(machine.factors[i] @ machine.factors[j] * row[i] * row[j] for i in filled for j in filled if i < j)
+        assert abs(machine.bias + row @ machine.weights + pairs - logit) < 1e-3
+    assert ((machine.logits(full) > 0) == labels).mean() > 0.9
+    assert [np.flatnonzero(r[:BUCKETS]).tolist() for r in full] == [p[v > 0].tolist() for p, v in zip(places, values, strict=True)]
+
+
+def test_groups_stay_whole():
+    rng = random.Random(2)
+    groups = sorted(rng.randrange(30) for _ in range(400))
+    batches, low = [], 0
+    while low < len(groups):
+        high = low + rng.randint(0, 25)
+        batches.append(pa.RecordBatch.from_pydict({"g": pa.array(groups[low:high], pa.int64())}))
+        low = high
+    found = [b.column("g").to_pylist() for b in whole_groups(iter(batches), "g")]
+    assert sum(found, []) == groups
+    assert all(a[-1] != b[0] for a, b in zip(found, found[1:], strict=False))
+    ranges = list(packs(np.array(groups), 20))
+    assert [x for low, high in ranges for x in groups[low:high]] == groups
+    assert all(high - low <= 20 or len(set(groups[low:high])) == 1 for low, high in ranges)
+    assert all(groups[high - 1] != groups[high] for _, high in ranges[:-1])

@@ -69,3 +69,47 @@ def test_whole_run_equals_the_stages(spark, results):
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     whole = corpus_pipeline.run(spark, SF_DIR).select(*names).collect()
     assert Counter(map(tuple, whole)) == Counter(map(tuple, results[5].select(*names).collect()))
+
+
+def _table(df, labels, folder):
+    df.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_stages_on_an_awkward_table(spark, awkward, tmp_path):
+    """Nulls, empty and long texts, repeated rows and ids, clashing column names; no labels at all."""
+    labels = spark.createDataFrame([(1, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    sf_dir = _table(awkward, labels, tmp_path)
+    docs = read_documents(spark, sf_dir)
+    before = texts(docs)
+    stages = dict(corpus_pipeline.STAGES)
+    scored = settle(stages["quality classifier"](spark, docs, sf_dir), "test-scored")
+    assert Counter(texts(scored)) == Counter(before)
+    single = settle(stages["exact dedup"](spark, scored, sf_dir), "test-single")
+    kept = Counter(r for r, x in zip(before, brute.exact_copies(before), strict=True) if x[3])
+    assert {r: n for r, n in Counter(texts(single)).items()} == dict(kept)
+    rows = texts(single)
+    far = settle(stages["n-gram Jaccard join"](spark, single, sf_dir), "test-far")
+    classes = brute.jaccard_components(rows, 5, 80)
+    assert Counter(texts(far)) == Counter(r for r, x in zip(rows, classes, strict=True) if x[1] == 0 or x[2] is None or x[0] == x[2])
+    rows = texts(far)
+    cut = settle(stages["substring dedup"](spark, far, sf_dir), "test-cut")
+    assert cut.columns == awkward.columns
+    expected = [
+        (i, brute.sha((t or "").encode()) if removed == 0 else digest)
+        for (i, t), (_, _, removed, digest) in zip(rows, brute.substring_removal(rows, 50), strict=True)
+    ]
+    assert Counter((i, brute.sha((t or "").encode())) for i, t in texts(cut)) == Counter(expected)
+    placed = stages["best-fit packing"](spark, cut, sf_dir)
+    assert placed.select("doc_id").distinct().count() == cut.select("doc_id").distinct().count()
+    assert placed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_a_document_with_both_labels_and_an_empty_table(spark, empty, tmp_path):
+    labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    assert corpus_pipeline.run(spark, _table(empty, labels, tmp_path / "none")).count() == 0
+    docs = spark.createDataFrame([(1, "one two three", "en", "s", 13), (7, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.run(spark, _table(docs, labels, tmp_path / "both")).collect()
+    # Two labels of 1 against one of 0: the text stays, as does the empty one, which has its end token only.
+    assert sorted((r.doc_id, r.length) for r in found) == [(1, 4), (7, 1)]
