@@ -1,5 +1,9 @@
 """The training-data pipeline over a table of documents, stage by stage.
 
+A null text counts as empty and is kept unless a stage's own rule drops it; a null id is larger than any other and never equal to one that
+stays. Repeated rows and equal texts are copies. Extra columns, whatever their names, are carried along and not read, but
+for ``n_chars``. An empty table gives an empty result; texts may be of any length.
+
 Each stage takes all documents that its predecessor kept and returns those it keeps, with all their columns; the last one
 returns the packed sequences' pieces. :func:`run` stores every stage's result before the next one starts.
 """
@@ -23,7 +27,8 @@ LEAST_QUALITY = 0.3
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that the classifier scores below ``LEAST_QUALITY`` go.
 
-    It learns from the labels of documents whose crc32 of the id leaves a remainder by 5.
+    It learns from the labels of documents whose crc32 of the id leaves a remainder by 5. A document labelled both 0 and 1 counts
+    once for each; without both labels all documents score alike and stay.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     machine = train(docs, labels, F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
@@ -31,22 +36,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: of equal texts the one with the largest id stays."""
+    """Operator 1: of equal texts the one with the largest id stays; of null and empty texts one."""
     return drop_exact_duplicates(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7, on five words and a similarity of 0.8 or more: of each group the least id stays."""
+    """Operator 7, on five words and a similarity of 0.8 or more: of each group the least id stays. Texts without words stay."""
     return drop_near_duplicates(docs, n=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: passages of 50 words or more that a document with a smaller id has too are cut out."""
+    """Operator 4: passages of 50 words or more that a document with a smaller id has too are cut out; no row goes, untouched texts stay as they are."""
     return with_repeats_removed(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: token pieces with the sequence and the place they are packed to."""
+    """Operator 2: token pieces with the sequence and the place they are packed to; an empty text is its end token."""
     pieces = tokenized(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(settle(pieces, "token-pieces"), CAPACITY)
@@ -65,6 +70,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of the documents that all stages keep: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     docs = read_documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -39,6 +39,7 @@ from headway.llm.texts import (
     lower_ascii,
     mixed,
     packs,
+    release,
     rows_named,
     settle,
     signed,
@@ -63,6 +64,8 @@ TILE = 2_000
 _STRIP = 256
 #: Pairs whose common keys are looked up together.
 _PAIRS = 20_000
+#: Pairs whose sketches are compared together.
+_HAMMING = 200_000
 
 
 def most_differences(smaller: int, percent: int) -> int:
@@ -261,59 +264,77 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(often.astype(np.int64))], names=["a", "b", "often"])
 
 
-def _cell_pairs(percent: int):
-    """Pairs of a cell's members in different components whose sizes and whole sketches allow a link.
-
-    A pair is given where its group has the least key of those that both members have, so it is given once.
-    """
+class _Cells:
+    """Rows of whole cells: members of groups with their component, size, sketch and sorted keys."""
 
-    def first_met(rows: pa.RecordBatch, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which pairs of rows have no lesser key in common than that of their cell."""
+    def __init__(self, rows: pa.RecordBatch, percent: int):
+        self.percent = percent
+        self.cell, self.component, self.size, self.tile, self.sig = (
+            rows.column(c).to_numpy() for c in ("cell", "component", "n_shingles", "tile", "sig")
+        )
+        self.crossing = rows.column("crossing").to_numpy(zero_copy_only=False)
+        self.bits = np.stack([rows.column(b).to_numpy() for b in _BITS], axis=1).view(np.uint64)
         lists = rows.column("keys")
-        size = lists.value_lengths().to_numpy().astype(np.int64)
-        keys, number = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        begins, own = np.cumsum(size) - size, np.searchsorted(keys, rows.column("key").to_numpy())
-        held = np.repeat(np.arange(len(size)), size) * len(keys) + number  # ascending: a row's keys are sorted
+        self.listed = lists.value_lengths().to_numpy().astype(np.int64)
+        self.begins = np.cumsum(self.listed) - self.listed
+        keys, self.number = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        self.kinds, self.key = len(keys), np.searchsorted(keys, rows.column("key").to_numpy())
+        # Ascending, because each row's keys are sorted.
+        self.held = np.repeat(np.arange(len(self.listed)), self.listed) * self.kinds + self.number
+
+    def first_met(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of rows have no lesser key in common than that of their cell."""
         first = np.ones(len(a), dtype=bool)
         for low in range(0, len(a), _PAIRS):
-            some = slice(low, low + _PAIRS)
-            pair = np.repeat(np.arange(len(a[some])), size[a[some]])
-            asked = number[expand(begins[a[some]], size[a[some]])]
-            code = b[some][pair] * len(keys) + asked
-            common = held[np.minimum(np.searchsorted(held, code), len(held) - 1)] == code
-            first[low + pair[common & (asked < own[a[some]][pair])]] = False
+            one, two = a[low : low + _PAIRS], b[low : low + _PAIRS]
+            pair = np.repeat(np.arange(len(one)), self.listed[one])
+            asked = self.number[expand(self.begins[one], self.listed[one])]
+            code = two[pair] * self.kinds + asked
+            common = self.held[np.minimum(np.searchsorted(self.held, code), len(self.held) - 1)] == code
+            first[low + pair[common & (asked < self.key[one][pair])]] = False
         return first
 
-    def near(rows: pa.RecordBatch, low: int, high: int) -> np.ndarray:
-        group, component, size, tile = (rows.column(c).to_numpy()[low:high] for c in ("cell", "component", "n_shingles", "tile"))
-        bits = np.stack([rows.column(b).to_numpy()[low:high] for b in _BITS], axis=1).view(np.uint64)
-        crossing = rows.column("crossing").to_numpy(zero_copy_only=False)[low:high]
-        own = np.arange(high - low)
-        if group[0] == group[-1]:  # every pair sought has a member outside the most frequent component
-            kinds, often = np.unique(component, return_counts=True)
-            own = np.flatnonzero(component != kinds[np.argmax(often)])
-        found = []
+    def near(self, low: int, high: int) -> Iterator[np.ndarray]:
+        """Pairs of rows of ``low:high``, a strip of rows against all others at a time."""
+        own = np.arange(low, high)
+        if self.cell[low] == self.cell[high - 1]:  # every pair sought has a member outside the most frequent component
+            kinds, often = np.unique(self.component[low:high], return_counts=True)
+            own = own[self.component[low:high] != kinds[np.argmax(often)]]
+        is_own = np.zeros(high - low, dtype=bool)
+        is_own[own - low] = True
+        every = slice(low, high)
         for strip in range(0, len(own), _STRIP):
             some = own[strip : strip + _STRIP]
-            fits = (component[some][:, None] != component[None, :]) & (group[some][:, None] == group[None, :])
-            fits &= ~crossing[some][:, None] | (tile[some][:, None] != tile[None, :])
-            small, large = np.minimum(size[some][:, None], size[None, :]), np.maximum(size[some][:, None], size[None, :])
-            fits &= 100 * small >= percent * large
-            a, b = np.nonzero(fits)
-            both = size[some[a]] + size[b]
-            apart = np.bitwise_count(bits[some[a]] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            kept = (100 + percent) * apart <= (100 - percent) * both
-            found.append(np.stack([some[a[kept]], b[kept]], axis=1) + low)
-        return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+            fits = (self.component[some][:, None] != self.component[None, every]) & (self.cell[some][:, None] == self.cell[None, every])
+            fits &= ~self.crossing[some][:, None] | (self.tile[some][:, None] != self.tile[None, every])
+            fits &= ~is_own[None, :] | (some[:, None] < np.arange(low, high)[None, :])
+            fits &= 100 * self.size[some][:, None] >= self.percent * self.size[None, every]
+            fits &= 100 * self.size[None, every] >= self.percent * self.size[some][:, None]
+            at, b = np.nonzero(fits)
+            for part in range(0, len(at), _HAMMING):
+                one, two = some[at[part : part + _HAMMING]], b[part : part + _HAMMING] + low
+                apart = np.bitwise_count(self.bits[one] ^ self.bits[two]).sum(axis=1, dtype=np.int64)
+                kept = (100 + self.percent) * apart <= (100 - self.percent) * (self.size[one] + self.size[two])
+                one, two = one[kept], two[kept]
+                first = self.first_met(one, two)
+                yield np.stack([self.sig[one[first]], self.sig[two[first]]], axis=1)
+
+
+def _cell_pairs(percent: int):
+    """Pairs of a cell's members in different components whose sizes and whole sketches allow a link.
+
+    A pair is given where its group has the least key of those that both members have, so it is given once.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "cell"):
-            group, sig = rows.column("cell").to_numpy(), rows.column("sig").to_numpy()
-            met = np.concatenate([near(rows, low, high) for low, high in packs(group, _STRIP)])
-            met = np.unique(np.sort(met, axis=1), axis=0)
-            met = np.sort(sig[met[first_met(rows, met[:, 0], met[:, 1])]], axis=1)
-            a, b = (pa.array(np.ascontiguousarray(met[:, i])) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+            cells = _Cells(rows, percent)
+            for low, high in packs(cells.cell, _STRIP):
+                met = [m for m in cells.near(low, high) if len(m)]
+                if met:
+                    found = np.sort(np.concatenate(met), axis=1)
+                    a, b = (pa.array(np.ascontiguousarray(found[:, i])) for i in (0, 1))
+                    yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     return pairs
 
@@ -322,34 +343,12 @@ def _sets(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, data in text_slices(batches):
             hashes, bounds = shingle_sets(offsets, data, n)
-            where = (8 * bounds).astype(np.int32)
-            held = pa.Array.from_buffers(pa.binary(), rows.num_rows, [None, pa.py_buffer(where.tobytes()), pa.py_buffer(hashes.tobytes())])
+            held = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(signed(hashes)))
             yield pa.RecordBatch.from_arrays([rows.column("sig"), held], names=["sig", "hashes"])
 
     return sets
 
 
-def _verify(percent: int):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = np.zeros(batch.num_rows, dtype=bool)
-            one, two = batch.column("one"), batch.column("two")
-            for i in range(batch.num_rows):
-                a = np.frombuffer(one[i].as_buffer(), dtype=np.uint64)
-                b = np.frombuffer(two[i].as_buffer(), dtype=np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                place = np.searchsorted(b, a)
-                both = int((b[np.minimum(place, len(b) - 1)] == a).sum())
-                linked[i] = 100 * both >= percent * (len(a) + len(b) - both)
-            chosen = pa.array(linked)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(chosen), batch.column("b").filter(chosen)], names=["a", "b"]
-            )
-
-    return verify
-
-
 class _Join:
     """The candidate rounds over one corpus."""
 
@@ -371,7 +370,9 @@ class _Join:
         # A set has a bounded number of sketches, so ranking them is a small sort.
         rank = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("n"), "key"))
         kept = counted.withColumn("_rank", rank).where("_rank > spare AND n > 1").select("key", "sig", "n")
-        return settle(kept, "members")
+        kept = settle(kept, "members")
+        release(shared, counts)
+        return kept
 
     def candidate_sets(self, members: DataFrame) -> None:
         """Size, sketch and n-grams of every set that has candidates, from one row that has the set."""
@@ -380,7 +381,7 @@ class _Join:
         holders = settle(holders.join(wanted.hint("merge"), F.col("sig") == F.col("_sig")).select("sig", "s.*"), "holders")
         self.sigs = holders.select("sig", "n_shingles", *_BITS)
         read = rows_named(self.texts, holders.select("sig", *_ROW), ("doc_id", "row")).dropDuplicates(["sig"])
-        self.sets = settle(read.select("sig", "text").mapInArrow(_sets(self.n), "sig long, hashes binary"), "sets")
+        self.sets = settle(read.select("sig", "text").mapInArrow(_sets(self.n), "sig long, hashes array<long>"), "sets")
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Candidates (``a, b``) that sizes and sketches do not rule out."""
@@ -423,7 +424,9 @@ class _Join:
         one = self.sets.select(F.col("sig").alias("_a"), F.col("hashes").alias("one"))
         two = self.sets.select(F.col("sig").alias("_b"), F.col("hashes").alias("two"))
         both = pairs.join(one.hint("merge"), F.col("a") == F.col("_a")).join(two.hint("merge"), F.col("b") == F.col("_b"))
-        return settle(both.select("a", "b", "one", "two").mapInArrow(_verify(self.percent), "a long, b long"), name)
+        common = F.size(F.array_intersect("one", "two"))
+        linked = 100 * common >= self.percent * (F.size("one") + F.size("two") - common)
+        return settle(both.where(linked).select("a", "b"), name)
 
     def run(self) -> DataFrame:
         """``vertex, component`` of all sets that link with another."""
@@ -435,9 +438,9 @@ class _Join:
         gathered = members.select("key", "sig", part.alias("_part")).repartition("key", "_part").sortWithinPartitions("key", "_part")
         beside = settle(gathered.select("key", "sig").mapInArrow(_neighbours, "a long, b long, often long"), "neighbours")
         # Neighbours in many groups share many sketches; those are the likeliest to link.
-        beside = beside.groupBy("a", "b").agg(F.sum("often").alias("often"))
+        often = beside.groupBy("a", "b").agg(F.sum("often").alias("often"))
         turn = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("often"), F.xxhash64("a", "b"), "b"))
-        some = settle(beside.withColumn("_turn", turn).where(F.col("_turn") <= PARTNERS).select("a", "b"), "partners")
+        some = settle(often.withColumn("_turn", turn).where(F.col("_turn") <= PARTNERS).select("a", "b"), "partners")
         links = self.verified(settle(self.near(some), "near-partners"), "first-links")
 
         found = settle(components(links), "first-components").select(F.col("vertex").alias("_v"), "component")
@@ -451,6 +454,7 @@ class _Join:
         unlike = kinds.where("_low < _high").groupBy("_n", "_print1", "_print2").agg(F.min("key").alias("_key"))
         mixed_keys = settle(unlike.select("_key"), "mixed-keys")
         left = settle(placed.join(mixed_keys.hint("merge"), F.col("key") == F.col("_key")).drop("_key"), "mixed-members")
+        release(members, placed, beside)
         crossed = settle(self.cells(left).mapInArrow(_cell_pairs(self.percent), "a long, b long").distinct(), "near-pairs")
         more = self.verified(crossed, "more-links")
         # The components so far are stars, which stand for their links.

@@ -47,6 +47,15 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return settle_table(df, f"llm-{purpose}")
 
 
+def release(*tables: DataFrame) -> None:
+    """Empty stored tables that nothing reads any more, so that the shared folder holds no more than is needed."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            nothing = table.sparkSession.createDataFrame([], table.schema).coalesce(1)
+            nothing.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
