@@ -3,7 +3,7 @@
 Over bytes, inducing works bucket by bucket: the suffixes that a bucket's entries put into later buckets are known at
 once, those it puts into itself come in rounds, one for each further repetition of its character. So a pass over
 the alphabet is a few array operations per character. The reduced strings of deeper levels have large
-alphabets and are induced entry by entry.
+alphabets and are induced entry by entry; the rest of a level is array operations.
 """
 
 from __future__ import annotations
@@ -138,71 +138,50 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     is_leftmost = np.zeros(len(text), dtype=bool)
     is_leftmost[leftmost] = True
     names, kinds = _names(text, leftmost, order[is_leftmost[order]])
-    ranked = _bucket_order(names) if kinds == len(names) else np.array(_reduced_order(names.tolist(), kinds), dtype=np.int64)
-    return _induce(text, before, starts, ends, leftmost[ranked])
+    return _induce(text, before, starts, ends, leftmost[_reduced_order(names, kinds)])
 
 
-def _reduced_order(text: list[int], kinds: int) -> list[int]:
-    """Suffix order of a reduced string, entry by entry; its last symbol is its unique least."""
-    n = len(text)
-    if kinds == n:
-        order = [0] * n
-        for i, symbol in enumerate(text):
-            order[symbol] = i
-        return order
-    smaller = bytearray(n)
-    smaller[n - 1] = 1
-    for i in range(n - 2, -1, -1):
-        a, b = text[i], text[i + 1]
-        smaller[i] = a < b or (a == b and smaller[i + 1])
-    counts = [0] * kinds
-    for symbol in text:
-        counts[symbol] += 1
-    ends, total = [0] * kinds, 0
-    for symbol, count in enumerate(counts):
-        total += count
-        ends[symbol] = total
-    leftmost = [i for i in range(1, n) if smaller[i] and not smaller[i - 1]]
-
-    def induce(seeds: list[int]) -> list[int]:
-        order = [-1] * n
-        tail = ends.copy()
-        for i in reversed(seeds):
-            symbol = text[i]
-            tail[symbol] -= 1
-            order[tail[symbol]] = i
-        head = [e - c for e, c in zip(ends, counts, strict=True)]
-        for place in range(n):
-            i = order[place] - 1
-            if i >= 0 and not smaller[i]:
-                symbol = text[i]
-                order[head[symbol]] = i
-                head[symbol] += 1
-        tail = ends.copy()
-        for place in range(n - 1, -1, -1):
-            i = order[place] - 1
-            if i >= 0 and smaller[i]:
-                symbol = text[i]
-                tail[symbol] -= 1
-                order[tail[symbol]] = i
-        return order
-
-    order = induce(leftmost)
-    if order[0] != n - 1:
-        order[0] = n - 1
-    following = dict(zip(leftmost, leftmost[1:] + [n - 1], strict=True))
-    is_leftmost = bytearray(n)
-    for i in leftmost:
-        is_leftmost[i] = 1
-    names, name, last = {}, -1, None
-    for i in order:
-        if is_leftmost[i]:
-            part = text[i : following[i] + 1]
-            if part != last:
-                name, last = name + 1, part
-            names[i] = name
-    reduced = _reduced_order([names[i] for i in leftmost], name + 1)
-    return induce([leftmost[i] for i in reduced])
+def _induced_by_entry(text: list[int], smaller: bytes, counts: list[int], ends: list[int], seeds: list[int]) -> list[int]:
+    """Suffix order induced from leftmost-smaller suffixes in the order given, one entry after the other.
+
+    The lists are walked while they fill: an entry is always put ahead of where the walk is.
+    """
+    order = [-1] * len(text)
+    tail = ends.copy()
+    for i in reversed(seeds):
+        symbol = text[i]
+        tail[symbol] = place = tail[symbol] - 1
+        order[place] = i
+    head = [end - count for end, count in zip(ends, counts, strict=True)]
+    for entry in order:
+        if entry > 0 and not smaller[entry - 1]:
+            symbol = text[entry - 1]
+            place = head[symbol]
+            order[place] = entry - 1
+            head[symbol] = place + 1
+    tail = ends.copy()
+    for entry in reversed(order):
+        if entry > 0 and smaller[entry - 1]:
+            symbol = text[entry - 1]
+            tail[symbol] = place = tail[symbol] - 1
+            order[place] = entry - 1
+    order[0] = len(text) - 1  # the end symbol's suffix is induced by nothing
+    return order
+
+
+def _reduced_order(text: np.ndarray, kinds: int) -> np.ndarray:
+    """Suffix order of a reduced string; its last symbol is its unique least."""
+    if kinds == len(text):
+        return _bucket_order(text)
+    smaller = _types(text)
+    leftmost = _leftmost(smaller)
+    counts = np.bincount(text, minlength=kinds)
+    known = (text.tolist(), smaller.tobytes(), counts.tolist(), np.cumsum(counts).tolist())
+    order = np.array(_induced_by_entry(*known, leftmost.tolist()), dtype=np.int64)
+    is_leftmost = np.zeros(len(text), dtype=bool)
+    is_leftmost[leftmost] = True
+    ranked = leftmost[_reduced_order(*_names(text, leftmost, order[is_leftmost[order]]))]
+    return np.array(_induced_by_entry(*known, ranked.tolist()), dtype=np.int64)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
