@@ -48,12 +48,17 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def release(*tables: DataFrame) -> None:
-    """Empty stored tables that nothing reads any more, so that the shared folder holds no more than is needed."""
+    """Empty stored tables that nothing reads any more, so that the shared folder holds no more than is needed.
+
+    Shuffles that only those tables came from go too: Spark deletes their files once the driver's collector finds them unused.
+    """
     for table in tables:
         files = table.inputFiles()
         if files:
             nothing = table.sparkSession.createDataFrame([], table.schema).coalesce(1)
             nothing.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def parts(spark: SparkSession) -> int:
