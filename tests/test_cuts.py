@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.functions.labels import DAY_TYPES
-from headway.operators.cuts import HotKeys, KeyCuts
+from headway.operators.cuts import HotKeys, KeyCuts, _sample
 from headway.operators.ordered import neighbour_in_chunks, with_neighbour
 from headway.plans import corridors, delays
 from headway.plans.segments import scheduled_segments
@@ -175,3 +175,13 @@ def test_groups_without_a_ratio_have_no_percentiles(spark):
     found = corridors.congestion_patterns_of(corridors.congestion_state(readings)).first()
     assert (found.num_observations, found.median_congestion_ratio, found.avg_congestion_ratio) == (1, None, None)
     assert (found.avg_duration_seconds, found.avg_distance_meters, found.severe_count) == (None, 5, 1)
+
+
+def test_the_sample_computes_derived_columns_once(spark):
+    derived = spark.range(1_000).select(F.col("id").alias("k"), F.concat(F.lit("at "), F.col("id").cast("string")).alias("at"))
+    picked = _sample(derived, [F.col("k"), F.col("at")], 4)
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if "Filter" in line]
+    assert conditions and not any("concat(" in line or "xxhash64(" in line for line in conditions)
+    assert picked.columns == ["k", "at"] and 0 < picked.count() < 1_000
+    assert sorted(picked.collect()) == sorted(_sample(derived.repartition(5), [F.col("k"), F.col("at")], 4).collect())
