@@ -1,6 +1,7 @@
 """Large keys cut and spread inside the plan: nothing runs before the query, one shuffle, no overfull task."""
 
 import random
+import re
 from collections import Counter
 from statistics import median
 
@@ -185,3 +186,16 @@ def test_the_sample_computes_derived_columns_once(spark):
     assert conditions and not any("concat(" in line or "xxhash64(" in line for line in conditions)
     assert picked.columns == ["k", "at"] and 0 < picked.count() < 1_000
     assert sorted(picked.collect()) == sorted(_sample(derived.repartition(5), [F.col("k"), F.col("at")], 4).collect())
+
+
+def test_a_join_over_salts_does_not_sort_the_large_side(spark):
+    left = skewed(spark).withColumn("unique", F.col("b"))
+    right = left.select(F.col("k").alias("name"), F.lit(1).alias("found")).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = HotKeys.of(left, "k", 8).join(left, right, "k", "name", "left")
+        assert joined.where("found = 1").count() == 8_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
