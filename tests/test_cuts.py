@@ -199,3 +199,21 @@ def test_a_join_over_salts_does_not_sort_the_large_side(spark):
         assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_groups_take_small_sketches_and_all_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(corridors, "SMALL_SKETCH_SIZE", 16)
+    group = F.when(F.col("id") < 16, "few").when(F.col("id") < 40, "many").otherwise(F.concat(F.lit("over days"), F.pmod("id", F.lit(3))))
+    ratio = F.when(F.pmod("id", F.lit(7)) > 0, F.pmod(F.col("id") * 37, F.lit(101)) / 100)
+    day = F.date_add(F.lit("2026-03-01"), F.when(F.col("id") < 40, 0).otherwise(F.pmod("id", F.lit(11)) * 7).cast("int"))
+    fixed = {"corridor_name": F.lit(None).cast("string"), "day_of_week": F.lit(1), "day_type": F.lit("weekend"), "hour_of_day": F.lit(8), "time_period": F.lit("morning_rush")}
+    measured = {"congestion_ratio": ratio, "duration_seconds": F.col("id").cast("int"), "distance_meters": F.lit(100)}
+    readings = spark.range(130).select(group.alias("corridor_id"), day.alias("poll_date"), *[c.alias(k) for k, c in (fixed | measured).items()])
+    readings = readings.withColumn("congestion_severity", F.lit("light"))
+    state = corridors.congestion_state(readings)
+    assert state.count() == state.select("corridor_id", "poll_date").distinct().count()
+    described = {r.corridor_id: r.text for r in state.select("corridor_id", F.expr("kll_sketch_to_string_double(ratio_sketch)").alias("text")).collect()}
+    size = {key: int(re.search(r"\bK\s*:\s*(\d+)", text)[1]) for key, text in described.items()}
+    assert size["few"] == 16 and size["many"] == corridors.SKETCH_SIZE
+    expected = sorted(corridors.congestion_patterns(readings, 1_000_000).collect(), key=str)
+    assert sorted(corridors.congestion_patterns_of(state).collect(), key=str) == expected
