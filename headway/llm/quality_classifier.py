@@ -52,6 +52,8 @@ _MASKS = np.stack(
 
 def _repeated_share(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Share of lines that equal an earlier line of the text; lines end with a line feed."""
+    if len(data) == 0:
+        return np.zeros(len(offsets) - 1)
     feeds = np.flatnonzero(data == 0x0A)
     starts = np.unique(np.concatenate([offsets[:-1], feeds + 1]))
     starts = starts[starts < len(data)]
