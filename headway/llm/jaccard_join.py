@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ from headway.llm.components import components
 from headway.llm.texts import (
     SpanHash,
     expand,
+    forget_shuffles,
     keyed,
     lower_ascii,
     mixed,
@@ -55,6 +56,8 @@ _ROW = ["doc_id", "row"]
 #: Sketch rows that a scan task gathers before it folds those of equal key.
 _FOLD_ROWS = 1_500_000
 _BITS = ["bits0", "bits1", "bits2", "bits3"]
+#: Shares of the keys that are matched one after the other: only one share's sketch rows are on disk at a time.
+SHARES = 2
 #: Neighbours that the first round compares a set with, and the random orders they are taken from.
 PARTNERS, ORDERS = 8, 3
 #: Members of a group that the first round keeps together.
@@ -183,8 +186,11 @@ def range_sketches(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tupl
     return np.concatenate(keys), owner, leave[owner]
 
 
-def _sketch_rows(n: int, percent: int):
-    """``key, sig, spare, known``: one row per key and task to be matched, the others marked as known to share the key."""
+def _sketch_rows(n: int, percent: int, share: int, shares: int):
+    """``key, sig, spare, known``: one row per key and task to be matched, the others marked as known to share the key.
+
+    Only keys of one share of all keys are given; a key is in one share, whichever set has it.
+    """
 
     def fold(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         key, sig, spare = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -210,6 +216,8 @@ def _sketch_rows(n: int, percent: int):
         for _, offsets, data in text_slices(batches):
             hashes, bounds = shingle_sets(offsets, data, n)
             key, owner, spare = range_sketches(hashes, bounds, percent)
+            own = key % np.uint64(shares) == np.uint64(share)
+            key, owner, spare = key[own], owner[own], spare[own]
             held.append((key, _signatures(hashes, bounds)[owner], spare))
             rows += len(key)
             if rows >= _FOLD_ROWS:
@@ -357,21 +365,28 @@ class _Join:
         schema = f"doc_id long, row long, n_shingles long, sig long, {', '.join(f'{b} long' for b in _BITS)}"
         self.described = settle(self.texts.mapInArrow(_describe(n), schema), "described")
 
-    def members(self) -> DataFrame:
-        """``key, sig, n``: the range sketches that a set has in common with others, without its most frequent ones."""
+    def shared_sketches(self, share: int) -> DataFrame:
+        """``key, sig, spare``: the range sketches of one share of the keys that a set has in common with others."""
         schema = "key long, sig long, spare int, known byte"
-        rows = self.texts.select("text").mapInArrow(_sketch_rows(self.n, self.percent), schema)
+        rows = self.texts.select("text").mapInArrow(_sketch_rows(self.n, self.percent, share, SHARES), schema)
         # Rows whose key needs no more matching are dealt by their set, so that a frequent key does not meet in one task.
         dealt = rows.repartition(F.when(F.col("known") == 2, F.xxhash64("key", "sig")).otherwise(F.col("key")))
         shared = dealt.sortWithinPartitions("key", "sig").mapInArrow(_shared_keys, "key long, sig long, spare int")
         shared = settle(shared.distinct(), "shared-sketches")
+        forget_shuffles(shared.sparkSession)
+        return shared
+
+    def members(self) -> DataFrame:
+        """``key, sig, n``: the range sketches that a set has in common with others, without its most frequent ones."""
+        found = [self.shared_sketches(share) for share in range(SHARES)]
+        shared = reduce(DataFrame.union, found)
         counts = settle(shared.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("n")), "sketch-counts")
         counted = shared.join(counts.hint("merge"), F.col("key") == F.col("_key"))
         # A set has a bounded number of sketches, so ranking them is a small sort.
         rank = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("n"), "key"))
         kept = counted.withColumn("_rank", rank).where("_rank > spare AND n > 1").select("key", "sig", "n")
         kept = settle(kept, "members")
-        release(shared, counts)
+        release(*found, counts)
         return kept
 
     def candidate_sets(self, members: DataFrame) -> None:
@@ -397,19 +412,22 @@ class _Join:
         allowed = (100 - self.percent) * (small + large)
         return pairs.where((100 * small >= self.percent * large) & ((100 + self.percent) * apart <= allowed)).select("a", "b")
 
-    def cells(self, left: DataFrame) -> DataFrame:
-        """Members of mixed groups (``key, sig, component``) with size, sketch and keys, dealt to cells where they are compared.
-
-        A group of up to ``TILE`` members is one cell. A larger one is cut into tiles by hash, and every two tiles are a
-        cell, so no task holds a group, and comparisons are made in the task and never become rows.
-        """
+    def mixed_members(self, left: DataFrame) -> DataFrame:
+        """Members of mixed groups (``key, sig, component``) with size, sketch, the set's keys and the number of the group's tiles."""
         tiles = left.groupBy(F.col("key").alias("_key")).agg((1 + F.floor(F.count(F.lit(1)) / TILE)).alias("_tiles"))
         described = self.sigs.select(F.col("sig").alias("_sig"), "n_shingles", *_BITS)
         rows = left.join(settle(tiles, "tiles").hint("merge"), F.col("key") == F.col("_key"))
         # A set has a bounded number of sketches, so its list of keys is short.
         lists = left.groupBy(F.col("sig").alias("_sig")).agg(F.sort_array(F.collect_list("key")).alias("keys"))
         described = settle(described.join(lists.hint("merge"), "_sig"), "mixed-sets")
-        rows = rows.join(described.hint("merge"), F.col("sig") == F.col("_sig"))
+        return rows.join(described.hint("merge"), F.col("sig") == F.col("_sig"))
+
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """:meth:`mixed_members`, dealt to cells where they are compared.
+
+        A group of up to ``TILE`` members is one cell. A larger one is cut into tiles by hash, and every two tiles are a
+        cell, so no task holds a group, and comparisons are made in the task and never become rows.
+        """
         rows = rows.withColumn("tile", F.pmod(F.xxhash64("sig", "key"), "_tiles"))
         rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tiles") - 1)))
         pair = F.xxhash64("key", F.least("tile", "_other"), F.greatest("tile", "_other"))
@@ -419,6 +437,13 @@ class _Join:
         # A cell of two tiles compares across; what they have of themselves is a cell of its own.
         return rows.repartition("cell").sortWithinPartitions("cell")
 
+    def near_pairs(self, described: DataFrame, share: int) -> DataFrame:
+        """Pairs (``a, b``) to verify that are compared in groups of one share of the keys."""
+        rows = described.where(F.pmod(F.col("key"), F.lit(SHARES)) == share)
+        pairs = settle(self.cells(rows).mapInArrow(_cell_pairs(self.percent), "a long, b long").distinct(), "near-pairs")
+        forget_shuffles(pairs.sparkSession)
+        return pairs
+
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of stored candidates that are links."""
         one = self.sets.select(F.col("sig").alias("_a"), F.col("hashes").alias("one"))
@@ -455,8 +480,10 @@ class _Join:
         mixed_keys = settle(unlike.select("_key"), "mixed-keys")
         left = settle(placed.join(mixed_keys.hint("merge"), F.col("key") == F.col("_key")).drop("_key"), "mixed-members")
         release(members, placed, beside)
-        crossed = settle(self.cells(left).mapInArrow(_cell_pairs(self.percent), "a long, b long").distinct(), "near-pairs")
-        more = self.verified(crossed, "more-links")
+        described = self.mixed_members(left)
+        # A pair is given in the group of its least common key, so in one share.
+        crossed = [self.near_pairs(described, share) for share in range(SHARES)]
+        more = self.verified(reduce(DataFrame.union, crossed), "more-links")
         # The components so far are stars, which stand for their links.
         stars = found.select(F.col("_v").alias("a"), F.col("component").alias("b"))
         return settle(components(stars.union(more)), "components")

@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 
 from headway.llm.byte_bpe import encode_matches, merge_alone, vocabulary
 from headway.llm.exact_dedup import golomb_decode, golomb_encode
-from headway.llm.jaccard_join import most_differences, range_sketches, shingle_sets
+from headway.llm.jaccard_join import SHARES, _sketch_rows, most_differences, range_sketches, shingle_sets
 from headway.llm.packing import plan_patterns
 from headway.llm.quality_classifier import BUCKETS, SparseRows, fit
 from headway.llm.suffixes import common_prefixes, joined_pieces, suffix_array
@@ -117,6 +117,22 @@ def test_linked_sets_share_a_sketch():
             assert len(shared) > spare.max()
 
 
+def test_a_share_sends_its_own_keys_only():
+    words = random.Random(3)
+    texts = [" ".join(words.choices("abcdefgh", k=60)) for _ in range(40)] + ["", "a b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+    def sent(share, shares):
+        made = pa.Table.from_batches(_sketch_rows(4, 85, share, shares)(iter([batch])))
+        return {(row["key"], row["sig"], row["spare"]) for row in made.to_pylist()}
+
+    every, found = sent(0, 1), [sent(share, SHARES) for share in range(SHARES)]
+    assert SHARES > 1 and set.union(*found) == every
+    # A key's sets meet in one share, and no share holds much more than its part.
+    keys = [{key for key, _, _ in part} for part in found]
+    assert not set.intersection(*keys) and max(map(len, found)) < 0.6 * len(every)
+
+
 def test_merges_match_the_library():
     vocab = vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=vocab.rank, special_tokens={})
