@@ -58,6 +58,8 @@ _FOLD_ROWS = 1_500_000
 _BITS = ["bits0", "bits1", "bits2", "bits3"]
 #: Shares of the keys that are matched one after the other: only one share's sketch rows are on disk at a time.
 SHARES = 2
+#: Shares of the cells of the second round, likewise.
+CELL_SHARES = 4
 #: Neighbours that the first round compares a set with, and the random orders they are taken from.
 PARTNERS, ORDERS = 8, 3
 #: Members of a group that the first round keeps together.
@@ -422,8 +424,8 @@ class _Join:
         described = settle(described.join(lists.hint("merge"), "_sig"), "mixed-sets")
         return rows.join(described.hint("merge"), F.col("sig") == F.col("_sig"))
 
-    def cells(self, rows: DataFrame) -> DataFrame:
-        """:meth:`mixed_members`, dealt to cells where they are compared.
+    def cells(self, rows: DataFrame, share: int) -> DataFrame:
+        """:meth:`mixed_members`, dealt to cells where they are compared; one share of all cells, of large groups as of small ones.
 
         A group of up to ``TILE`` members is one cell. A larger one is cut into tiles by hash, and every two tiles are a
         cell, so no task holds a group, and comparisons are made in the task and never become rows.
@@ -434,13 +436,13 @@ class _Join:
         rows = rows.select(
             pair.alias("cell"), "key", "keys", "sig", "component", "n_shingles", *_BITS, "tile", (F.col("tile") != F.col("_other")).alias("crossing")
         )
+        rows = rows.where(F.pmod(F.col("cell"), F.lit(CELL_SHARES)) == share)
         # A cell of two tiles compares across; what they have of themselves is a cell of its own.
         return rows.repartition("cell").sortWithinPartitions("cell")
 
     def near_pairs(self, described: DataFrame, share: int) -> DataFrame:
-        """Pairs (``a, b``) to verify that are compared in groups of one share of the keys."""
-        rows = described.where(F.pmod(F.col("key"), F.lit(SHARES)) == share)
-        pairs = settle(self.cells(rows).mapInArrow(_cell_pairs(self.percent), "a long, b long").distinct(), "near-pairs")
+        """Pairs (``a, b``) to verify that one share of the cells gives."""
+        pairs = settle(self.cells(described, share).mapInArrow(_cell_pairs(self.percent), "a long, b long").distinct(), "near-pairs")
         forget_shuffles(pairs.sparkSession)
         return pairs
 
@@ -481,8 +483,8 @@ class _Join:
         left = settle(placed.join(mixed_keys.hint("merge"), F.col("key") == F.col("_key")).drop("_key"), "mixed-members")
         release(members, placed, beside)
         described = self.mixed_members(left)
-        # A pair is given in the group of its least common key, so in one share.
-        crossed = [self.near_pairs(described, share) for share in range(SHARES)]
+        # A pair is given in one cell, that of its least common key and its tiles.
+        crossed = [self.near_pairs(described, share) for share in range(CELL_SHARES)]
         more = self.verified(reduce(DataFrame.union, crossed), "more-links")
         # The components so far are stars, which stand for their links.
         stars = found.select(F.col("_v").alias("a"), F.col("component").alias("b"))
