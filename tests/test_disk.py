@@ -13,6 +13,7 @@ from headway.plans.workflow import run_all
 from headway.session import shuffles_freed
 from headway.sources import feeds
 from headway.sources.feeds import headers_of, read_schedule, read_schedule_by_header, read_traffic, write_schedule_snapshots, write_traffic_days
+from headway.sources.tables import create_schema, materialize, materialize_by_date, table_metadata
 from headway.streaming.ingest import start_ingest
 from tests.test_incremental import flow_at, poll, results
 from tests.test_workflow import deliver
@@ -103,7 +104,7 @@ def test_written_deliveries_are_compressed_and_read_back(spark, tmp_path, rows,
     names = schemas.ROUTES.typed.fieldNames()
     df = spark.range(250).select(*[(F.col("id") % 3).cast("int").alias(n) if n == "route_type" else F.concat(F.lit(n), F.col("id")).alias(n) for n in names])
     landing = str(tmp_path / "landing")
-    write_schedule_snapshots(df, landing, schemas.ROUTES, F.lit(NEW))
+    write_schedule_snapshots(df, landing, schemas.ROUTES, F.lit(NEW), compressed=True)
     files = [str(p) for p in (tmp_path / "landing" / "routes.txt").glob("*/part-*")]
     assert len(files) >= 3 and all(f.endswith(".csv.gz") for f in files)
     assert rows(read_schedule(spark, landing, schemas.ROUTES, "by_file"), *names) == rows(df, *names)
@@ -113,12 +114,27 @@ def test_written_deliveries_are_compressed_and_read_back(spark, tmp_path, rows,
     polled = spark.range(50).select(
         F.concat(F.lit("c"), F.col("id")).alias("corridor_id"), F.timestamp_seconds(F.col("id") * 7201 + 1_774_000_000).cast("timestamp_ntz").alias("polled_at")
     )
-    write_traffic_days(polled, str(tmp_path / "traffic"))
+    write_traffic_days(polled, str(tmp_path / "traffic"), compressed=True)
     assert all(p.name.endswith(".json.gz") for p in (tmp_path / "traffic").glob("*/part-*"))
+    write_traffic_days(polled, str(tmp_path / "plain"))
+    assert all(p.name.endswith(".json") for p in (tmp_path / "plain").glob("*/part-*"))
     found = read_traffic(spark, str(tmp_path / "traffic"), schemas.TRAFFIC).withColumn("polled_at", F.col("polled_at").cast("timestamp_ntz"))
     assert rows(found, "corridor_id", "polled_at") == rows(polled)
 
 
+def test_tables_are_stored_compressed_without_a_property_for_it(spark, schema_name, tmp_path):
+    create_schema(spark, schema_name, str(tmp_path / "tables"))
+    days = spark.range(40).withColumn("day", F.date_add(F.lit("2026-03-08").cast("date"), (F.col("id") % 4).cast("int")))
+    materialize(days, f"{schema_name}.whole", "Whole", {"quality": "gold"})
+    for dates in (None, days.select("day")):
+        materialize_by_date(days, f"{schema_name}.dated", "day", "Dated", {"quality": "gold"}, dates)
+    for name in ("whole", "dated"):
+        assert spark.table(f"{schema_name}.{name}").count() == 40
+        stored = list((tmp_path / "tables" / name).rglob("part-*.parquet"))
+        assert stored and all(p.name.endswith(".zstd.parquet") for p in stored)
+        assert {r.key for r in table_metadata(spark, f"{schema_name}.{name}").collect()} == {"comment", "quality"}
+
+
 def test_bronze_is_stored_compressed(spark, tmp_path):
     deliver(tmp_path / "schedule", "2026-03-08", "First")
     poll(tmp_path / "traffic", "d23", "2026-03-23", 300)
